@@ -44,6 +44,10 @@ def get_array(record: Column | str, path: str = "$") -> Column:
     return F.try_variant_get(record, path, OBJECTS)
 
 
+def is_object(record: Column | str, path: str = "$") -> Column:
+    return F.try_variant_get(record, path, "struct<>").isNotNull()
+
+
 def present(record: Column | str, path: str) -> Column:
     """True when the field exists and is not JSON null (``{}`` and ``""`` are present)."""
     return holds(F.try_variant_get(record, path, "variant"))
@@ -67,12 +71,6 @@ def put(fields: Column, name: str, value: Column) -> Column:
     return F.map_concat(remove(fields, name), F.create_map(F.lit(name), value))
 
 
-def enrich(fields: Column, extra: Column, names: tuple[str, ...]) -> Column:
-    """Set ``names`` from the map ``extra``; a name ``extra`` lacks is removed."""
-    kept = F.map_filter(fields, lambda k, v: ~k.isin(*names) & holds(v))
-    return F.map_concat(kept, extra)
-
-
 def held(fields: Column) -> Column:
     """The entries that hold a value: no SQL NULL and no JSON null."""
     return F.map_filter(fields, lambda _, v: holds(v))

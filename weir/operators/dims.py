@@ -27,7 +27,7 @@ def parse_changes(topic: DataFrame) -> DataFrame:
     row = F.struct(
         "seq",
         "value",
-        records.get_object(v).isNotNull().alias("is_json"),
+        records.is_object(v).alias("is_json"),
         records.get_string(v, "$.database").alias("database"),
         records.get_string(v, "$.table").alias("source_table"),
         records.get_string(v, "$.type").alias("type"),

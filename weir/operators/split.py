@@ -1,7 +1,12 @@
-"""Split repaired app-log records into error, start, page, display and action streams.
+"""Split app-log records into error, start, page, display and action streams.
 
-One pass: each record becomes an array of ``(topic, body)`` and the array is exploded, so the
-source is parsed once however many streams come out.
+Two steps with the flag repair between them:
+
+* :func:`cut` takes a record apart into JSON texts, one per member and one per display or action;
+* :func:`fan_out` puts the output messages together from these texts.
+
+All JSON work happens before the join of the repair, the join moves text only, and after it
+there is nothing but concatenation, in one pass for all streams.
 """
 
 from __future__ import annotations
@@ -12,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.functions import records
-from weir.operators.visitors import NO_PAGE, OLD
+from weir.operators.visitors import NEW, NO_PAGE, OLD
 
 # Output topics.
 PAGE = "dwd_traffic_page_log"
@@ -24,11 +29,61 @@ DIRTY = "dirty"
 
 TOPICS = (PAGE, START, DISPLAY, ACTION, ERROR, DIRTY)
 
-_ROUTE = "struct<topic:string,body:map<string,variant>>"
+_OBJECTS = ("common", "start", "page", "err")
+_ARRAYS = ("displays", "actions")
+_MEMBERS = (*_OBJECTS, *_ARRAYS, "ts")
+
+# What a display and an action take from their record, replacing members of the same name.
+_FROM_RECORD = {"displays": ("common", "page_id", "ts"), "actions": ("common", "page_id")}
+
+# Digits that a double may not hold.
+_LONG_NUMBER = "[0-9][0-9.eE+-]{16}"
+
+_SPACE = " \t\r\n"
+
+
+def cut(logs: DataFrame) -> DataFrame:
+    """Parsed records (``visitors.parse_logs``) to texts.
+
+    Replaces ``v`` and ``value`` by one JSON text per known member (NULL when absent or JSON null),
+    ``rest`` (the other members), ``page_id``, and ``display_items`` and ``action_items`` (the
+    members of each element but for those it takes from its record).
+
+    Texts are slices of the message where that is safe. Serialising VARIANTs costs many times
+    more and is left to records with nulls or members of unexpected types.
+    """
+    schema = [f"{name} STRING" for name in _OBJECTS] + [f"{name} ARRAY<STRING>" for name in _ARRAYS]
+    # The JSON reader writes slices anew, fractions as doubles.
+    sliceable = ~F.col("has_null") & ~F.col("value").rlike(_LONG_NUMBER)
+    clean = F.when(F.col("has_null"), records.drop_nulls(F.col("v"))).otherwise(F.col("v"))
+    kept = ("seq", "raw", "mid", "device", "is_new", "ts", "reason")
+    known = sum((F.col(f"f_{name}").isNotNull().cast("int") for name in _MEMBERS), F.lit(0))
+    others = F.map_filter("fields", lambda k, _: ~k.isin(*_MEMBERS))
+    start, page = F.col("f_start"), F.col("reason").isNull() & F.col("f_start").isNull()
+    whole = start.isNotNull() | F.col("f_err").isNotNull()
+    return (
+        logs.select(
+            *kept,
+            F.when(sliceable, F.from_json("value", ", ".join(schema))).alias("slices"),
+            records.get_object(clean).alias("fields"),
+        )
+        .select("*", *[F.col("fields")[name].alias(f"f_{name}") for name in _MEMBERS])
+        .select("*", *[F.when(_all_objects(name), F.col("slices")[name]).alias(name) for name in _ARRAYS])
+        .select(
+            *kept,
+            *[_object_text(name).alias(name) for name in _OBJECTS],
+            *[F.when(whole, _array_text(name)).alias(name) for name in _ARRAYS],
+            F.to_json("f_ts").alias("ts_text"),
+            F.when(F.size("fields") > known, _inside(records.to_text(others))).alias("rest"),
+            records.get_string("f_page", "$.page_id").alias("page_id"),
+            F.when(page, _items("displays")).alias("display_items"),
+            F.when(page, _items("actions")).alias("action_items"),
+        )
+    )
 
 
-def fan_out(logs: DataFrame, topics: Iterable[str] = TOPICS) -> DataFrame:
-    """Repaired records to ``(seq, topic, value, reason)``; only ``topics`` are built.
+def fan_out(pieces: DataFrame, topics: Iterable[str] = TOPICS) -> DataFrame:
+    """Cut and repaired records to ``(seq, topic, value, reason)``; only ``topics`` are built.
 
     * error: the whole record, when ``err`` is present
     * start: the record without ``err``, when ``start`` is present
@@ -37,84 +92,114 @@ def fan_out(logs: DataFrame, topics: Iterable[str] = TOPICS) -> DataFrame:
       ``page_id``; a display takes the record's ``ts``, an action keeps its own
     * dirty: the message as it came, with a ``reason``
     """
-    rec, v = F.col("rec"), F.col("v")
-    whole = records.get_object(F.when(F.col("has_null"), records.drop_nulls(v)).otherwise(v))
-    common = records.get_object(rec["common"])
-    repaired = records.put(
-        rec, "common", F.to_variant_object(records.put(common, "is_new", records.text(OLD)))
+    wanted = set(topics)
+    repaired = pieces.withColumn(
+        "common", F.when(F.col("flipped"), _flip(F.col("common"))).otherwise(F.col("common"))
     )
-    prepared = (
-        logs.select("seq", "raw", "ts", "flipped", "reason", whole.alias("rec"))
-        .withColumn("rec", F.when(F.col("flipped"), repaired).otherwise(rec))
+    usable = F.col("reason").isNull()
+    is_start = usable & F.col("start").isNotNull()
+    is_page = usable & F.col("start").isNull()
+    has_error = (usable | (F.col("reason") == NO_PAGE)) & F.col("err").isNotNull()
+    bodies = {
+        ERROR: F.when(has_error, F.array(_record("common", "start", "page", "displays", "actions", "err"))),
+        START: F.when(is_start, F.array(_record("common", "start", "page", "displays", "actions"))),
+        PAGE: F.when(is_page, F.array(_record("common", "page"))),
+        DISPLAY: F.when(is_page, F.col("display_items")),
+        ACTION: F.when(is_page, F.col("action_items")),
+        DIRTY: F.when(~usable, F.array("raw")),
+    }
+    routes = [
+        F.struct(F.lit(topic).alias("topic"), bodies[topic].alias("bodies"))
+        for topic in TOPICS
+        if topic in wanted
+    ]
+    # What displays and actions take from their record, the closing brace included.
+    shared = F.substring(F.to_json(F.struct("common", "page_id")), F.lit(2), F.lit(2**31 - 1))
+    record_ts = F.when(F.col("topic") == DISPLAY, F.concat(F.lit('"ts":'), F.col("ts")))
+    item = F.concat(F.lit("{"), F.concat_ws(",", F.nullif("body", F.lit("")), record_ts, "shared"))
+    return (
+        repaired.select("seq", "reason", "ts", F.when(is_page, shared).alias("shared"), F.inline(F.array(*routes)))
+        .select("*", F.explode("bodies").alias("body"))
         .select(
             "seq",
-            "raw",
-            "reason",
-            "rec",
-            records.holds(rec["err"]).alias("has_err"),
-            records.holds(rec["start"]).alias("has_start"),
-            _extra(rec, F.col("ts")).alias("display_extra"),
-            _extra(rec).alias("action_extra"),
+            "topic",
+            F.when(F.col("topic").isin(DISPLAY, ACTION), item).otherwise(F.col("body")).alias("value"),
+            F.when(F.col("topic") == DIRTY, F.col("reason")).alias("reason"),
         )
     )
-    routed = prepared.select(
-        "seq", "raw", "reason", F.explode(_routes(set(topics))).alias("route")
-    )
-    dirty = F.col("route")["topic"] == DIRTY
-    return routed.select(
-        "seq",
-        F.col("route")["topic"].alias("topic"),
-        F.when(dirty, F.col("raw")).otherwise(records.to_text(F.col("route")["body"])).alias("value"),
-        F.when(dirty, F.col("reason")).alias("reason"),
+
+
+def _object_text(name: str) -> Column:
+    """JSON text of a member. A text member is not sliced: its slice lacks the quotes."""
+    field = F.col(f"f_{name}")
+    return F.coalesce(F.when(records.is_object(field), F.col("slices")[name]), F.to_json(field))
+
+
+def _all_objects(name: str) -> Column:
+    elements = F.try_variant_get(f"f_{name}", "$", "array<struct<>>")
+    return F.forall(elements, lambda e: e.isNotNull())
+
+
+def _array_text(name: str) -> Column:
+    sliced = F.concat(F.lit("["), F.array_join(name, ","), F.lit("]"))
+    return F.coalesce(sliced, F.to_json(f"f_{name}"))
+
+
+def _items(name: str) -> Column:
+    """The members of each element of an array, without what the record provides.
+
+    Elements that are not objects are skipped.
+    """
+    taken = _FROM_RECORD[name]
+    objects = F.filter(records.get_array(f"f_{name}"), lambda e: e.isNotNull())
+    built = F.transform(objects, lambda e: _inside(records.to_text(records.remove(e, *taken))))
+    return F.coalesce(F.transform(F.transform(name, _inside), lambda e: _without(e, taken)), built)
+
+
+def _without(inner: Column, names: tuple[str, ...]) -> Column:
+    """A JSON object's text, given without braces, but for the members ``names``.
+
+    Without escapes a quoted name before a colon is a member's name, and without nested
+    values the member ends at the next comma; other objects are parsed.
+    """
+    named = F.lit(False)
+    for name in names:
+        named = named | inner.contains(f'"{name}"')
+    escaped = inner.contains("\\")
+    nested = inner.contains("{") | inner.contains("[")
+    member = rf'"({"|".join(names)})"\s*:\s*("[^"]*"|[^,"]*),?'
+    parsed = records.remove(records.get_object(records.parse(F.concat(F.lit("{"), inner, F.lit("}")))), *names)
+    return (
+        F.when(~escaped & ~named, inner)
+        .when(~escaped & ~nested, F.btrim(F.regexp_replace(inner, member, ""), F.lit(_SPACE + ",")))
+        .otherwise(_inside(records.to_text(parsed)))
     )
 
 
-def _extra(rec: Column, ts: Column | None = None) -> Column:
-    """What a display or action gets from its record; fields without a value are left out."""
-    entries = [
-        F.lit("common"),
-        records.text(records.get_string(rec["common"], "$")),
-        F.lit("page_id"),
-        records.text(records.get_string(rec["page"], "$.page_id")),
-    ]
-    if ts is not None:
-        entries += [F.lit("ts"), ts.cast("variant")]
-    return records.held(F.create_map(*entries))
-
-
-def _routes(topics: set[str]) -> Column:
-    rec, reason = F.col("rec"), F.col("reason")
-    usable = reason.isNull()
-    start = usable & F.col("has_start")
-    page = usable & ~F.col("has_start")
-
-    def route(topic: str, body: Column) -> Column:
-        return F.struct(F.lit(topic).alias("topic"), body.alias("body")).cast(_ROUTE)
-
-    def elements(topic: str, field: str, extra: str, names: tuple[str, ...]) -> Column:
-        items = F.filter(records.get_array(rec[field]), lambda e: e.isNotNull())
-        return F.transform(items, lambda e: route(topic, records.enrich(e, F.col(extra), names)))
-
-    no_body = F.lit(None).cast(records.OBJECT)
-    singles = {
-        ERROR: ((usable | (reason == NO_PAGE)) & F.col("has_err"), rec),
-        START: (start, records.remove(rec, "err")),
-        PAGE: (page, records.remove(rec, "err", "displays", "actions")),
-        DIRTY: (~usable, no_body),
-    }
-    lists = {
-        DISPLAY: ("displays", "display_extra", ("common", "page_id", "ts")),
-        ACTION: ("actions", "action_extra", ("common", "page_id")),
-    }
-    empty = F.array().cast(f"array<{_ROUTE}>")
-    parts = [
-        F.when(condition, F.array(route(topic, body))).otherwise(empty)
-        for topic, (condition, body) in singles.items()
-        if topic in topics
-    ]
-    parts += [
-        F.coalesce(F.when(page, elements(topic, *spec)), empty)
-        for topic, spec in lists.items()
-        if topic in topics
-    ]
-    return F.concat(*parts)
+def _inside(text: Column) -> Column:
+    """A JSON object's text without its braces."""
+    return F.btrim(F.substring(text, F.lit(2), F.length(text) - 2), F.lit(_SPACE))
+
+
+def _record(*names: str) -> Column:
+    """JSON text of the record with these members, its ``ts`` and all others not named here."""
+    members = [F.concat(F.lit(f'"{name}":'), F.col(name)) for name in names]
+    members += [F.concat(F.lit('"ts":'), F.col("ts_text")), F.col("rest")]
+    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+
+
+def _flip(common: Column) -> Column:
+    """``common`` with ``is_new`` set to ``0``.
+
+    Without escapes and nested objects the member can only be the one that is looked for, and
+    is replaced in the text; otherwise the object is rebuilt.
+    """
+    written, settled = f'"is_new":"{NEW}"', f'"is_new":"{OLD}"'
+    simple = (
+        common.contains(written)
+        & ~common.contains("\\")
+        & ~F.substring(common, F.lit(2), F.length(common)).contains("{")
+    )
+    fields = records.get_object(records.parse(common))
+    rebuilt = records.to_text(records.put(fields, "is_new", records.text(OLD)))
+    return F.when(simple, F.replace(common, F.lit(written), F.lit(settled))).otherwise(rebuilt)

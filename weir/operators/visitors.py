@@ -27,6 +27,7 @@ def parse_logs(topic: DataFrame) -> DataFrame:
 
     ===========  =======  ==========================================================
     seq          BIGINT   arrival order
+    value        STRING   the message
     v            VARIANT  the record
     raw          STRING   the message, only where the record may turn out unusable
     has_null     BOOLEAN  the message may hold JSON nulls
@@ -48,16 +49,17 @@ def parse_logs(topic: DataFrame) -> DataFrame:
             records.get_long(v, "$.ts").alias("ts"),
         )
     )
-    splittable = records.present(v, "$.start") | records.get_object(v, "$.page").isNotNull()
+    splittable = records.present(v, "$.start") | records.is_object(v, "$.page")
     reason = (
         F.when(F.col("mid").isNotNull(), F.when(~splittable, NO_PAGE))
-        .when(records.get_object(v).isNull(), NOT_JSON)
-        .when(records.get_object(v, "$.common").isNull(), NO_COMMON)
+        .when(~records.is_object(v), NOT_JSON)
+        .when(~records.is_object(v, "$.common"), NO_COMMON)
         .otherwise(NO_MID)
     )
     spread = F.concat(F.lit("\u0000"), F.pmod("seq", F.lit(_SPREAD)).cast("string"))
     row = F.struct(
         "seq",
+        "value",
         "v",
         F.when(reason.isNotNull() | F.col("ts").isNull(), F.col("value")).alias("raw"),
         F.col("value").contains("null").alias("has_null"),

@@ -19,17 +19,22 @@ def repaired_logs(topic: DataFrame, zone: str = dates.ZONE) -> DataFrame:
     is too large to broadcast.
     """
     logs = visitors.parse_logs(topic)
-    visits = written(visitors.first_visits(logs, zone), "first-visits")
-    return visitors.repair_flags(logs, visits, zone)
+    return visitors.repair_flags(logs.drop("v", "value"), _visits(logs, zone), zone)
 
 
 def split_logs(
     topic: DataFrame, topics: Iterable[str] = split.TOPICS, zone: str = dates.ZONE
 ) -> DataFrame:
     """Messages to ``(seq, topic, value, reason)``, one row per output message."""
-    return split.fan_out(repaired_logs(topic, zone), topics)
+    logs = visitors.parse_logs(topic)
+    repaired = visitors.repair_flags(split.cut(logs), _visits(logs, zone), zone)
+    return split.fan_out(repaired, topics)
 
 
 def dirty_logs(topic: DataFrame) -> DataFrame:
     """Messages whose form alone makes them unusable, before any state is looked at."""
     return visitors.parse_logs(topic).where("reason IS NOT NULL").selectExpr("seq", "reason", "raw AS value")
+
+
+def _visits(logs: DataFrame, zone: str) -> DataFrame:
+    return written(visitors.first_visits(logs, zone), "first-visits")

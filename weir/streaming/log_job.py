@@ -58,7 +58,7 @@ class LogJob:
             logs = visitors.parse_logs(batch)
             self.visits.write(self._batch_visits(logs, batch_id), batch_id)
             visits = self.visits.read_batch(spark, batch_id)
-            repaired = visitors.repair_flags(logs, visits, self.zone)
+            repaired = visitors.repair_flags(split.cut(logs), visits, self.zone)
             self.sink(split.fan_out(repaired), batch_id)
         finally:
             batch.unpersist()
