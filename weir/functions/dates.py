@@ -20,21 +20,27 @@ _LIMIT_MS = (2**63 - 1) // 1000 - 2 * DAY_MS
 
 def epoch_ms(time: Column) -> Column:
     """TIMESTAMP_NTZ, read as UTC, to epoch milliseconds, rounded down."""
-    days = F.unix_date(time.cast("date")).cast("bigint")
-    minutes = F.hour(time) * 60 + F.minute(time)
-    seconds = F.floor(F.extract(F.lit("SECOND"), time) * 1000).cast("bigint")
-    return days * DAY_MS + minutes * 60_000 + seconds
+    since = (time - _epoch()).cast("interval second").cast("decimal(20,6)")
+    return F.floor(since * 1000).cast("bigint")
+
+
+def _epoch() -> Column:
+    return F.expr("timestamp_ntz'1970-01-01 00:00:00'")
 
 
 def _local_time(ms: Column, zone: str) -> Column:
-    epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    utc = F.timestamp_add("MILLISECOND", ms, epoch)
+    utc = F.timestamp_add("MILLISECOND", ms, _epoch())
     return F.when(
         ms.between(-_LIMIT_MS, _LIMIT_MS),
         F.convert_timezone(F.lit("UTC"), F.lit(zone), utc),
     )
 
 
+def is_dated(ms: Column) -> Column:
+    """True when both the day and the previous day of an instant can be told."""
+    return F.coalesce(ms.between(DAY_MS - _LIMIT_MS, _LIMIT_MS - DAY_MS), F.lit(False))
+
+
 def day(ms: Column, zone: str = ZONE) -> Column:
     """Calendar day of an instant as DATE; NULL when Spark cannot represent the instant."""
     return _local_time(ms, zone).cast("date")
@@ -47,12 +53,13 @@ def previous_day(ms: Column, zone: str = ZONE) -> Column:
 
 def to_date(ms: Column, zone: str = ZONE) -> Column:
     """``yyyy-MM-dd``"""
-    return F.date_format(_local_time(ms, zone), "yyyy-MM-dd")
+    return day(ms, zone).cast("string")
 
 
 def to_date_time(ms: Column, zone: str = ZONE) -> Column:
     """``yyyy-MM-dd HH:mm:ss``"""
-    return F.date_format(_local_time(ms, zone), "yyyy-MM-dd HH:mm:ss")
+    # date_format would read the local time in the session's zone.
+    return F.substring_index(_local_time(ms, zone).cast("string"), ".", 1)
 
 
 def to_ms(date_text: Column, full: bool = False, zone: str = OFFSET) -> Column:

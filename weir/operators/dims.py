@@ -86,6 +86,8 @@ def route(changes: DataFrame, routing: DataFrame, match: str = "exact") -> DataF
     Empty text is stored as NULL, and a row without its key is rejected.
     """
     unmatched = F.col("sink_table").isNull()
+    listed = F.map_filter(project(F.col("data"), match), lambda k, _: k != RESERVED)
+    stored = F.transform_values(listed, lambda _, x: F.nullif(x, F.lit("")))
     strange = F.size(F.array_except(F.map_keys("data"), "table_columns")) > 0
     reason = (
         F.when(~F.col("is_json"), NOT_JSON)
@@ -102,8 +104,7 @@ def route(changes: DataFrame, routing: DataFrame, match: str = "exact") -> DataF
     )
     return (
         changes.join(routing, "source_table", "left")
-        .withColumn("data", F.map_filter(project(F.col("data"), match), lambda k, _: k != RESERVED))
-        .withColumn("data", F.transform_values("data", lambda _, x: F.nullif(x, F.lit(""))))
+        .withColumn("data", F.when(~unmatched, stored))
         .withColumn("pk", F.try_element_at("data", F.col("table_pk")))
         .withColumn("reason", reason)
         .withColumn("status", status)

@@ -61,7 +61,7 @@ def parse_logs(topic: DataFrame) -> DataFrame:
         "seq",
         "value",
         "v",
-        F.when(reason.isNotNull() | F.col("ts").isNull(), F.col("value")).alias("raw"),
+        F.when(reason.isNotNull() | ~dates.is_dated(F.col("ts")), F.col("value")).alias("raw"),
         F.col("value").contains("null").alias("has_null"),
         "mid",
         F.coalesce("mid", spread).alias("device"),

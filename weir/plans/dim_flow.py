@@ -6,21 +6,31 @@ from pyspark.sql import DataFrame
 
 from weir.operators import dims, routing
 from weir.sources import rules
+from weir.streaming.storage import written
+
+# One wide result has a column per column of any target table.
+MAX_COLUMNS = 2_000
 
 
 def routed_changes(
     topic: DataFrame, rule_changes: DataFrame, match: str = "exact", with_dirty: bool = False
 ) -> DataFrame:
-    """Change messages matched with the rules in force; see ``dims.route``."""
+    """Change messages matched with the rules in force; see ``dims.route``.
+
+    The routing table is written first, so its real size decides how it is joined.
+    """
     changes = dims.kept_changes(dims.parse_changes(topic), with_dirty=with_dirty)
-    table = routing.routing_table(rules.from_change_feed(rule_changes))
+    table = written(routing.routing_table(rules.from_change_feed(rule_changes)), "routing")
     return dims.route(changes, table, match)
 
 
 def table_columns(rule_changes: DataFrame) -> list[str]:
     """Names of all columns of all target tables, for one wide result."""
-    columns = routing.target_columns(rules.from_change_feed(rule_changes))
-    return sorted(row["column"] for row in columns.select("column").distinct().collect())
+    columns = routing.target_columns(rules.from_change_feed(rule_changes)).select("column").distinct()
+    names = sorted(row["column"] for row in columns.limit(MAX_COLUMNS + 1).collect())
+    if len(names) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} columns: resolve table by table")
+    return names
 
 
 def dimension_rows(topic: DataFrame, rule_changes: DataFrame) -> DataFrame:

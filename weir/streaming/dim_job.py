@@ -61,9 +61,9 @@ class DimJob:
         if (batch_id + 1) % self.compact_every == 0:
             self.compact(spark, batch_id)
 
-    def accepted(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+    def accepted(self, spark: SparkSession) -> DataFrame:
         """Rows for dimension tables, with ``batch_id`` and ``seq`` as their order."""
-        rows = self.routed.read(spark, before).where(F.col("status") == dims.ACCEPTED)
+        rows = self.routed.read(spark).where(F.col("status") == dims.ACCEPTED)
         return rows.select("sink_table", "pk", "data", "batch_id", "seq")
 
     def audit(self, spark: SparkSession) -> DataFrame:
@@ -78,7 +78,8 @@ class DimJob:
 
     def compact(self, spark: SparkSession, batch_id: int) -> None:
         """Resolve all changes so far into one snapshot, one row per dimension row."""
-        rows = dims.latest_maps(self.accepted(spark, batch_id + 1), arrival())
+        changes = self.routed.read_through(spark, batch_id).where(F.col("status") == dims.ACCEPTED)
+        rows = dims.latest_maps(changes, arrival())
         nothing = F.lit(None).cast("string")
         snapshot = rows.select(
             F.lit(-1).cast("bigint").alias("seq"),

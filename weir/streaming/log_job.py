@@ -71,7 +71,7 @@ class LogJob:
 
     def compact(self, spark, batch_id: int) -> None:
         """Gather the visits of all batches so far into one snapshot."""
-        rows = self.visits.read(spark, batch_id + 1).where("NOT known")
+        rows = self.visits.read_through(spark, batch_id).where("NOT known")
         self.visits.write_snapshot(rows.drop("batch_id"), batch_id)
 
     def _batch_visits(self, logs: DataFrame, batch_id: int) -> DataFrame:

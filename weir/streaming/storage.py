@@ -76,6 +76,10 @@ class BatchTable:
             return batches
         return self._read(spark, f"{self.root}/snapshots", [base]).unionByName(batches)
 
+    def read_through(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """All rows up to and including a batch, without a snapshot of that batch."""
+        return self.read(spark, before=batch_id).unionByName(self.read_batch(spark, batch_id))
+
     def write_snapshot(self, df: DataFrame, batch_id: int) -> None:
         """Store ``df`` as standing for all batches up to ``batch_id``."""
         self._write(df, f"{self.root}/snapshots/batch_id={batch_id}")
