@@ -26,13 +26,16 @@ RULE_CHANGES = (
 )
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A test table, in at least as many partitions as a topic read by all cores would have.
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _spread(table: DataFrame, key: str) -> DataFrame:
+    """At least one partition per core, as a topic read by all cores would have.
 
     A table of enough files or row groups is left as it is scanned.
     """
-    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
+    cores = table.sparkSession.sparkContext.defaultParallelism
     return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, key)
 
 
@@ -74,7 +77,7 @@ def topic_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(acts, actions).alias("actions"),
         F.when(kind == "error", F.struct((i % 4000).alias("error_code"))).alias("err"),
     )
-    events = _table(spark, sf_dir, "events", "event_id").select(
+    events = _spread(_table(spark, sf_dir, "events"), "event_id").select(
         "event_id", "user_id", "event_type", dates.epoch_ms(F.col("ts")).alias("ms")
     )
     return events.select(i.alias("seq"), _message(i, i % 97 == 0, body).alias("value"))
@@ -90,7 +93,7 @@ def topic_db(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("part", "p_partkey", "p_partkey", "p_name", ("p_brand",)),
     )
     topics = [
-        _changes(_table(spark, sf_dir, table, key), table, number, key, key_name, name, further)
+        _changes(_table(spark, sf_dir, table), table, number, key, key_name, name, further)
         for number, (table, key, key_name, name, further) in enumerate(tables)
     ]
     union = topics[0]
@@ -170,7 +173,7 @@ def routing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 11 == 0, "d").when(k % 7 == 0, "r").otherwise("u").alias("op"),
         (F.lit(1652513039000) + k).alias("ts_ms"),
     )
-    part = _table(spark, sf_dir, "part", "p_partkey").select(F.col("p_partkey").alias("k"), "p_size", "p_type")
+    part = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), "p_size", "p_type")
     return part.select(k.alias("seq"), F.to_json(body).alias("value"))
 
 

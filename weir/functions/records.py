@@ -71,24 +71,26 @@ def put(fields: Column, name: str, value: Column) -> Column:
     return F.map_concat(remove(fields, name), F.create_map(F.lit(name), value))
 
 
-def held(fields: Column) -> Column:
-    """The entries that hold a value: no SQL NULL and no JSON null."""
-    return F.map_filter(fields, lambda _, v: holds(v))
-
-
 def to_text(fields: Column) -> Column:
     return F.to_json(fields)
 
 
-def drop_nulls(value: Column, depth: int = 3) -> Column:
+def drop_nulls(column: str, depth: int = 3) -> Column:
     """Remove null members from objects, also inside arrays, down to ``depth`` levels.
 
     Null array elements stay, so positions do not move.
     """
-    if depth == 0:
-        return value
-    members = F.transform_values(held(get_object(value)), lambda _, v: drop_nulls(v, depth - 1))
-    elements = F.transform(
-        F.try_variant_get(value, "$", "array<variant>"), lambda e: drop_nulls(e, depth - 1)
-    )
-    return F.coalesce(F.to_variant_object(members), F.to_variant_object(elements), value)
+
+    def cleaned(value: str, level: int) -> str:
+        if level == depth:
+            return value
+        member, element = f"m{level}", f"e{level}"
+        return f"""coalesce(
+            to_variant_object(transform_values(
+                map_filter(try_variant_get({value}, '$', '{OBJECT}'), (k, v) -> NOT is_variant_null(v)),
+                (k, {member}) -> {cleaned(member, level + 1)})),
+            to_variant_object(transform(
+                try_variant_get({value}, '$', 'array<variant>'), {element} -> {cleaned(element, level + 1)})),
+            {value})"""
+
+    return F.expr(cleaned(column, 0))

@@ -55,7 +55,7 @@ def cut(logs: DataFrame) -> DataFrame:
     schema = [f"{name} STRING" for name in _OBJECTS] + [f"{name} ARRAY<STRING>" for name in _ARRAYS]
     # The JSON reader writes slices anew, fractions as doubles.
     sliceable = ~F.col("has_null") & ~F.col("value").rlike(_LONG_NUMBER)
-    clean = F.when(F.col("has_null"), records.drop_nulls(F.col("v"))).otherwise(F.col("v"))
+    clean = F.when(F.col("has_null"), records.drop_nulls("v")).otherwise(F.col("v"))
     kept = ("seq", "raw", "mid", "device", "is_new", "ts", "reason")
     known = sum((F.col(f"f_{name}").isNotNull().cast("int") for name in _MEMBERS), F.lit(0))
     others = F.map_filter("fields", lambda k, _: ~k.isin(*_MEMBERS))
