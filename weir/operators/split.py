@@ -118,7 +118,8 @@ def fan_out(pieces: DataFrame, topics: Iterable[str] = TOPICS) -> DataFrame:
     record_ts = F.when(F.col("topic") == DISPLAY, F.concat(F.lit('"ts":'), F.col("ts")))
     item = F.concat(F.lit("{"), F.concat_ws(",", F.nullif("body", F.lit("")), record_ts, "shared"))
     return (
-        repaired.select("seq", "reason", "ts", F.when(is_page, shared).alias("shared"), F.inline(F.array(*routes)))
+        repaired.withColumn("shared", F.when(is_page, shared))
+        .select("seq", "reason", "ts", "shared", F.inline(F.array(*routes)))
         .select("*", F.explode("bodies").alias("body"))
         .select(
             "seq",
