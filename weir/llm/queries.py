@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.llm import pieces, secret_scan, token_counts
+from weir.llm import decontam, pieces, secret_scan, token_counts
 from weir.llm.common import read
 
 
@@ -12,6 +12,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return decontam.leaks(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -20,6 +25,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.document_tokens(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op8_secret_scans, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op4_decontamination, op8_secret_scans, op10_token_counts)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_decontamination": decontam.leaks_sql()}
