@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.llm import decontam, pieces, secret_scan, token_counts
+from weir.llm import decontam, pieces, quality, secret_scan, token_counts, toxicity
 from weir.llm.common import read
 
 
@@ -12,6 +12,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.score(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return decontam.leaks(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -21,10 +26,24 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "lang", "text")
+    return quality.classify(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.document_tokens(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op4_decontamination, op8_secret_scans, op10_token_counts)}
+_OPERATORS = (
+    op1_sentencepiece,
+    op2_toxicity,
+    op4_decontamination,
+    op8_secret_scans,
+    op9_quality_classifier,
+    op10_token_counts,
+)
+
+QUERIES = {f.__name__: f for f in _OPERATORS}
 
 ORACLE_SQL: dict[str, str] = {"op4_decontamination": decontam.leaks_sql()}
