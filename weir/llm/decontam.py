@@ -105,7 +105,8 @@ def leaks(
     aligned = (
         docs.select("doc_id", "text")
         .join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")))
-        .select("doc_id", "item_id", "shift", "item_toks", tokens("text").alias("toks"))
+        # A generator, as Spark would move the tokens of a plain column into the loop over an item's.
+        .select("doc_id", "item_id", "shift", "item_toks", F.explode_outer(F.array(tokens("text"))).alias("toks"))
         .select("doc_id", "item_id", "shift", matched.alias("n_matched"), F.size("item_toks").alias("n_item"))
         .where(F.col("n_matched") * 100 >= F.col("n_item") * overlap)
     )
