@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.llm import decontam, pieces, quality, secret_scan, token_counts, toxicity
+from weir.llm import decontam, minhash, pieces, quality, secret_scan, token_counts, toxicity
 from weir.llm.common import read
 
 
@@ -22,6 +22,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -39,6 +43,7 @@ _OPERATORS = (
     op1_sentencepiece,
     op2_toxicity,
     op4_decontamination,
+    op7_minhash_near_dedup,
     op8_secret_scans,
     op9_quality_classifier,
     op10_token_counts,
@@ -46,4 +51,7 @@ _OPERATORS = (
 
 QUERIES = {f.__name__: f for f in _OPERATORS}
 
-ORACLE_SQL: dict[str, str] = {"op4_decontamination": decontam.leaks_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op4_decontamination": decontam.leaks_sql(),
+    "op7_minhash_near_dedup": minhash.near_duplicates_sql(),
+}
