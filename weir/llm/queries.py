@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.llm import decontam, minhash, pieces, quality, secret_scan, token_counts, toxicity
+from weir.llm import (
+    decontam,
+    minhash,
+    pieces,
+    quality,
+    secret_scan,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 from weir.llm.common import read
 
 
@@ -17,11 +27,19 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeated(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return decontam.leaks(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -42,7 +60,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OPERATORS = (
     op1_sentencepiece,
     op2_toxicity,
+    op3_substring_dedup,
     op4_decontamination,
+    op6_suffix_array_dedup,
     op7_minhash_near_dedup,
     op8_secret_scans,
     op9_quality_classifier,
@@ -52,6 +72,7 @@ _OPERATORS = (
 QUERIES = {f.__name__: f for f in _OPERATORS}
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_substring_dedup": substring_dedup.remove_repeated_sql(),
     "op4_decontamination": decontam.leaks_sql(),
     "op7_minhash_near_dedup": minhash.near_duplicates_sql(),
 }
