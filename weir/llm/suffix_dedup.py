@@ -144,17 +144,16 @@ def _grams(gram: int):
     def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         first = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         state = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64) + np.uint64(1)
-        size, step = 1, np.uint64(0x9E3779B97F4A7C15)
-        total, done, power = np.zeros(len(state), np.uint64), 0, step
+        step, wrap = 0x9E3779B97F4A7C15, 1 << 64
+        total, done, size = np.zeros(len(state), np.uint64), 0, 1
         while True:  # polynomials of doubled length, those that make up the gram's put together
             if gram & size:
-                total = total + np.roll(state, -done) * np.uint64(pow(int(step), done, 1 << 64))
+                total = total + np.roll(state, -done) * np.uint64(pow(step, done, wrap))
                 done += size
             size *= 2
             if size > gram:
                 break
-            state = state + np.roll(state, -(size // 2)) * power
-            power = power * power
+            state = state + np.roll(state, -(size // 2)) * np.uint64(pow(step, size // 2, wrap))
         return mixed(total), first, texts
 
     return grams
