@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from weir.llm import (
     decontam,
     minhash,
+    neighbours,
     pieces,
     quality,
     secret_scan,
@@ -36,6 +37,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeated(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -62,6 +67,7 @@ _OPERATORS = (
     op2_toxicity,
     op3_substring_dedup,
     op4_decontamination,
+    op5_nearest_neighbours,
     op6_suffix_array_dedup,
     op7_minhash_near_dedup,
     op8_secret_scans,
