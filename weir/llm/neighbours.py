@@ -39,8 +39,10 @@ LISTS = 4_096
 COPIES = 4
 COPY_RATIO = 1.1
 
-# Lists a query looks into at most, the same for their distance, and candidates it has before lists are dropped.
+# Lists a query looks into at most: so many, or this share of all. Vectors without any structure need the share, for others the
+# ratio of distances leaves few. Then candidates a query has before lists are dropped.
 PROBES = 64
+PROBE_SHARE = 0.2
 PROBE_RATIO = 1.6
 LEAST_CANDIDATES = 4_000
 
@@ -193,7 +195,8 @@ def _wanted(queries: DataFrame, index, sizes: dict[int, int]) -> DataFrame:
         x = _matrix(batch.column(1))
         # A query's length changes no order; as long as all vectors it lies among them.
         x = x / np.sqrt((x**2).sum(1))[:, None] * own.length
-        at, far = own.search(np.column_stack([x, np.zeros(len(x))]), PROBES, PROBES + PROBES // 2)
+        probes = max(PROBES, int(PROBE_SHARE * len(own.centres)))
+        at, far = own.search(np.column_stack([x, np.zeros(len(x))]), probes, probes + probes // 2)
         filled = np.array([counts.get(i, 0) for i in range(len(own.centres))])
         before = np.cumsum(filled[at], axis=1) - filled[at]
         keep = (far <= PROBE_RATIO * far[:, :1]) | (before < LEAST_CANDIDATES)
