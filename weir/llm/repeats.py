@@ -216,7 +216,7 @@ def repeated(
     earlier: a smaller id, or an earlier place of the same text.
     """
     found = sealed(survey(docs, units), "repeats-survey")
-    texts = found.groupBy("key").agg(F.min("did").alias("first"), F.count("*").alias("same"))
+    texts = sealed(found.groupBy("key").agg(F.min("did").alias("first"), F.count("*").alias("same")), "repeats-texts")
     place = F.explode(F.arrays_zip("h", "start", "windows", "anchor")).alias("r")
     runs = found.select("key", place).select("key", "r.h", "r.start", "r.windows", "r.anchor")
     # Equal texts name the same places, so they do not make a minimiser repeated.
@@ -238,7 +238,9 @@ def repeated(
     if not many.isEmpty():
         marks = marks.unionByName(_one_by_one(packs.join(many, "h"), units, first_stays))
     marks = sealed(marks, "repeats-marks")
+    # Written before they are joined with all places: Spark splits a crowded key only between two plain shuffles.
     known = packs.select("pid", F.col("copies"), F.col("place").alias("least")).join(marks, "pid", "left")
+    known = sealed(known, "repeats-known")
     everything = F.col("place") > F.col("least") if first_stays else F.col("copies") > 1
     spans = (
         packed.select("key", "pid", "start", "windows", "place").join(known, "pid")
@@ -249,7 +251,7 @@ def repeated(
         wanted.select("did", "key").join(spans, "key").select("did", "key", "spans"), "repeats-spans"
     )
     left = sealed(_removed(docs, wanted_texts, units).dropDuplicates(["key"]), "repeats-left")
-    result = found.select("doc_id", "did", "key", "n", "sha").join(texts, "key").join(left, "key", "left")
+    result = found.select("doc_id", "did", "key", "n", "sha").join(sealed(texts.join(left, "key", "left"), "repeats-results"), "key")
     copied = (F.col("did") > F.col("first")) if first_stays else F.col("same") > 1
     gone = copied & (F.col("n") >= units.length)
     return result.select(
