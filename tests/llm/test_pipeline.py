@@ -1,0 +1,67 @@
+"""The pipeline's stages against what their operators decide, and the registration of all queries."""
+
+
+import corpus_pipeline
+from tests.llm.test_repeats import by_id, plain_components
+from weir.llm import decontam, pieces, quality, secret_scan
+from weir.llm.common import read
+from weir.llm.queries import QUERIES
+
+
+def test_stages(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    labels = read(spark, sf_dir, "labels", "doc_id", "quality")
+    kept = []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        before, docs = docs, stage(spark, docs, sf_dir).persist()
+        if k < 4:
+            assert set(docs.columns) == set(corpus_pipeline.COLUMNS)
+        ids = {r.doc_id for r in docs.select("doc_id").collect()}
+        if k == 0:
+            want = {r.doc_id for r in quality.classify(before, labels).where("keep").collect()}
+        elif k == 1:
+            want = {i for i, (_, c) in plain_components(by_id(before), 5).items() if i == c}
+        elif k == 2:
+            bad = {r.doc_id for r in decontam.leaks(before, read(spark, sf_dir, "benchmark")).collect()}
+            assert bad
+            want = {i for i, _ in by_id(before)} - bad
+        else:
+            want = {r.doc_id for r in before.select("doc_id").collect()}
+        assert ids == want
+        kept.append(len(ids))
+        if k == 3:
+            scanner = secret_scan.compile_rules()
+            found = [(i, t, secret_scan.text_spans(scanner, t.encode())) for i, t in by_id(before)]
+            new = dict(by_id(docs))
+            assert any(spans for *_, spans in found)
+            for i, text, spans in found:
+                assert new[i] == text if not spans else "[SECRET]" in new[i]
+    assert kept[0] > kept[1] > kept[2] == kept[3] == kept[4]
+    tokens = {r.doc_id: r for r in docs.collect()}
+    for i, text in new.items():
+        assert pieces.vocabulary().decode(tokens[i].ids) == text and tokens[i].n_ids == len(tokens[i].ids)
+    done = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, sf_dir).collect()}
+    assert done == {i: r.ids for i, r in tokens.items()}
+
+
+def test_stages_take_nothing(spark, docs, sf_dir):
+    few = docs.where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        few = stage(spark, few, sf_dir)
+        assert few.count() == 0
+
+
+def test_stages_take_edge_rows(spark, docs, sf_dir):
+    left = docs
+    for _, stage in corpus_pipeline.STAGES:
+        left = stage(spark, left, sf_dir)
+    ids = {r.doc_id for r in left.collect()}
+    assert {10, 11, 12, None} <= ids and 17 not in ids
+
+
+def test_registered(spark, sf_dir):
+    import __spark_entry__
+
+    names = __spark_entry__.queries()
+    assert {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in QUERIES}
+    assert set(QUERIES) | {"pipeline"} <= set(names)
