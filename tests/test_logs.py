@@ -131,17 +131,42 @@ def test_elements(spark):
     assert run(spark, [log(displays=[], actions={})])[split.PAGE]
 
 
-@pytest.mark.parametrize("odd", [{"x": "é中\n"}, {"n": 0.12345678901234567}, {"q": 'a"b\\'}, {"z": None}])
-def test_same_messages_by_slices_and_by_values(spark, odd):
-    """Records that must not be sliced give what plain ones give."""
-    members = {"displays": [{"item": "1", "ts": 3}, {"item": "2"}], "actions": [{"action_id": "a", "ts": 9}]}
-    plain = run(spark, [log(**members)])
-    other = run(spark, [log(odd=odd, **members)])
-    for name in (split.DISPLAY, split.ACTION):
-        assert plain[name] == other[name]
-    page = dict(other[split.PAGE][0][1])
-    assert page.pop("odd") == {k: v for k, v in odd.items() if v is not None}
-    assert page == plain[split.PAGE][0][1]
+NUMBERS = ["1.0", "100.00", "-0.0", "12345678.90", "1e400", "1E+2", "0.12345678901234567890123", "123456789012345678901234567890", "7"]
+
+
+@pytest.mark.parametrize("other", ["", '"null"', '"12345678901234567"', "null", '"q\\"12.50, 3:"', "[1.50,null]", '"\u4e2d"'])
+def test_numbers_keep_their_text_whatever_else_there_is(spark, other):
+    """Texts are compared, not parsed values."""
+    values = []
+    for i, n in enumerate(NUMBERS):
+        x = f',"other":{other}' if other else ""
+        values.append(
+            f'{{"common":{{"is_new":"1","mid":"m{i}","c":{n}}},"page":{{"page_id":"p","x":{n}}},'
+            f'"displays":[{{"item":"a","y":{n},"ts":1}}],"actions":[{{"action_id":"b","z":[{n}]}}],"ts":1592140987000{x}}}'
+        )
+    rows = log_flow.split_logs(topic(spark, values)).orderBy("seq", "topic").collect()
+    rest = f',"other":{other}' if other and other != "null" else ""
+    for i, n in enumerate(NUMBERS):
+        out = {r.topic: r.value for r in rows if r.seq == i}
+        common = f'{{"is_new":"1","mid":"m{i}","c":{n}}}'
+        assert out[split.PAGE] == f'{{"common":{common},"page":{{"page_id":"p","x":{n}}},"ts":1592140987000{rest}}}'
+        told = json.dumps(common)
+        assert out[split.DISPLAY] == f'{{"item":"a","y":{n},"ts":1592140987000,"common":{told},"page_id":"p"}}'
+        assert out[split.ACTION] == f'{{"action_id":"b","z":[{n}],"common":{told},"page_id":"p"}}'
+
+
+def test_nulls_go_at_any_depth(spark):
+    deep = '{"a":{"b":{"c":{"d":{"e":null,"f":[null,{"g":null}],"t":"\\"y\\":null,"},"n":null}}},"z":null}'
+    value = f'{{"common":{{"mid":"m","is_new":"1"}},"page":{{"page_id":"p","x":{deep}}},"displays":[{{"x":{deep}}}],"ts":1592140987000,"q":{deep}}}'
+    kept = '{"a":{"b":{"c":{"d":{"f":[null,{}],"t":"\\"y\\":null,"}}}}}'
+    rows = {r.topic: r.value for r in log_flow.split_logs(topic(spark, [value])).collect()}
+    assert f'"page":{{"page_id":"p","x":{kept}}}' in rows[split.PAGE] and f'"q":{kept}' in rows[split.PAGE]
+    assert f'"x":{kept}' in rows[split.DISPLAY]
+
+
+@pytest.mark.parametrize("value", ['{"common":{"mid":"m"},"ts":01}', '{1:2}', '{"a":1.}', '{"a":-}', '{"a":1,}', '{"a":"\uffff1"}', '{"a":"\\uffff1"}'])
+def test_marks_make_nothing_valid(spark, value):
+    assert [r for _, _, r in run(spark, [value])[split.DIRTY]] == ["not_json"]
 
 
 def repaired(spark, values):

@@ -3,6 +3,11 @@
 A record is a VARIANT while it travels (one compact value per row) and a
 MAP<STRING, VARIANT> while keys are added or removed, so unknown keys survive.
 Nothing here raises on bad data: every function gives NULL instead.
+
+Numbers keep the characters they came with. A VARIANT or a JSON reader would write ``100.00`` or ``1e3`` its own
+way, so :func:`marked` turns numbers into marked texts before anything is parsed, and
+:func:`unmarked` takes the marks off when text is written. The mark is U+FFFF, which no text may hold;
+messages that hold it are not accepted as JSON.
 """
 
 from __future__ import annotations
@@ -15,19 +20,47 @@ TEXT_OBJECT = "map<string,string>"
 OBJECTS = "array<map<string,variant>>"
 
 
+MARK = "\uffff"
+
+# A whole JSON string, quotes included.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+_NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?"
+
+# From the end of the match before: what is neither string nor number, then a number that ends like one.
+_NEXT_NUMBER = rf'\G((?:[^"0-9-]++|{_STRING})*+)({_NUMBER})(?=[\s,}}\]]|$)'
+
+
+def marked(text: Column | str) -> Column:
+    """JSON text with its numbers as marked strings. Text that is not JSON does not become JSON by it."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.when(~text.rlike("\uffff|\\\\u[fF]{4}"), F.regexp_replace(text, _NEXT_NUMBER, f'$1"{MARK}$2"'))
+
+
+def unmarked(text: Column | str) -> Column:
+    """JSON text with numbers as they came."""
+    return F.regexp_replace(text, f'"{MARK}([^"]*)"', "$1")
+
+
 def parse(text: Column | str) -> Column:
-    """JSON text to VARIANT; NULL when it is not JSON."""
-    return F.try_parse_json(text)
+    """JSON text to VARIANT, numbers marked; NULL when it is not JSON."""
+    return F.try_parse_json(marked(text))
+
+
+def plain(value: Column) -> Column:
+    """A scalar read as text, without the mark of a number; objects and arrays as JSON text."""
+    return F.when(value.startswith(MARK), F.ltrim(value, F.lit(MARK))).otherwise(unmarked(value))
 
 
 def get_string(record: Column | str, path: str) -> Column:
     """Scalar as text, object or array as JSON text, NULL for JSON null or absent."""
-    return F.try_variant_get(record, path, "string")
+    return plain(F.try_variant_get(record, path, "string"))
 
 
 def get_long(record: Column | str, path: str) -> Column:
-    """Whole number; text holding a number counts, other text gives NULL."""
-    return F.try_variant_get(record, path, "bigint")
+    """Whole number, the fraction of others cut off; text holding a number counts, other text gives NULL."""
+    text = F.ltrim(F.try_variant_get(record, path, "string"), F.lit(MARK))
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,18)").try_cast("bigint"))
 
 
 def get_object(record: Column | str, path: str = "$") -> Column:
@@ -36,7 +69,7 @@ def get_object(record: Column | str, path: str = "$") -> Column:
 
 def get_text_object(record: Column | str, path: str = "$") -> Column:
     """Object whose values are all turned to text."""
-    return F.try_variant_get(record, path, TEXT_OBJECT)
+    return F.transform_values(F.try_variant_get(record, path, TEXT_OBJECT), lambda _, x: plain(x))
 
 
 def get_array(record: Column | str, path: str = "$") -> Column:
@@ -72,25 +105,14 @@ def put(fields: Column, name: str, value: Column) -> Column:
 
 
 def to_text(fields: Column) -> Column:
-    return F.to_json(fields)
+    return unmarked(F.to_json(fields))
 
 
-def drop_nulls(column: str, depth: int = 3) -> Column:
-    """Remove null members from objects, also inside arrays, down to ``depth`` levels.
+def without_nulls(text: Column) -> Column:
+    """JSON text without the null members of its objects, at any depth; null elements of arrays stay.
 
-    Null array elements stay, so positions do not move.
+    Walks whole strings, so quoted text is safe: null members go with the comma behind them, then commas before a
+    closing brace.
     """
-
-    def cleaned(value: str, level: int) -> str:
-        if level == depth:
-            return value
-        member, element = f"m{level}", f"e{level}"
-        return f"""coalesce(
-            to_variant_object(transform_values(
-                map_filter(try_variant_get({value}, '$', '{OBJECT}'), (k, v) -> NOT is_variant_null(v)),
-                (k, {member}) -> {cleaned(member, level + 1)})),
-            to_variant_object(transform(
-                try_variant_get({value}, '$', 'array<variant>'), {element} -> {cleaned(element, level + 1)})),
-            {value})"""
-
-    return F.expr(cleaned(column, 0))
+    members = F.regexp_replace(text, rf"{_STRING}\s*+:\s*+null\s*+,?+|({_STRING})", "$1")
+    return F.when(text.contains("null"), F.regexp_replace(members, rf"({_STRING})|,(?=\s*+\}})", "$1")).otherwise(text)

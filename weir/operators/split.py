@@ -36,9 +36,6 @@ _MEMBERS = (*_OBJECTS, *_ARRAYS, "ts")
 # What a display and an action take from their record, replacing members of the same name.
 _FROM_RECORD = {"displays": ("common", "page_id", "ts"), "actions": ("common", "page_id")}
 
-# Digits that a double may not hold.
-_LONG_NUMBER = "[0-9][0-9.eE+-]{16}"
-
 _SPACE = " \t\r\n"
 
 
@@ -49,13 +46,10 @@ def cut(logs: DataFrame) -> DataFrame:
     ``rest`` (the other members), ``page_id``, and ``display_items`` and ``action_items`` (the
     members of each element but for those it takes from its record).
 
-    Texts are slices of the message where that is safe. Serialising VARIANTs costs many times
-    more and is left to records with nulls or members of unexpected types.
+    Texts are slices of the message, numbers as they came and null members left out. Serialising
+    VARIANTs costs many times more and is left to members of unexpected types.
     """
     schema = [f"{name} STRING" for name in _OBJECTS] + [f"{name} ARRAY<STRING>" for name in _ARRAYS]
-    # The JSON reader writes slices anew, fractions as doubles.
-    sliceable = ~F.col("has_null") & ~F.col("value").rlike(_LONG_NUMBER)
-    clean = F.when(F.col("has_null"), records.drop_nulls("v")).otherwise(F.col("v"))
     kept = ("seq", "raw", "mid", "device", "is_new", "ts", "reason")
     known = sum((F.col(f"f_{name}").isNotNull().cast("int") for name in _MEMBERS), F.lit(0))
     others = F.map_filter("fields", lambda k, _: ~k.isin(*_MEMBERS))
@@ -64,8 +58,9 @@ def cut(logs: DataFrame) -> DataFrame:
     return (
         logs.select(
             *kept,
-            F.when(sliceable, F.from_json("value", ", ".join(schema))).alias("slices"),
-            records.get_object(clean).alias("fields"),
+            # The JSON reader writes slices anew; marked numbers are texts to it.
+            F.from_json(records.marked("value"), ", ".join(schema)).alias("slices"),
+            F.map_filter(records.get_object("v"), lambda _, x: records.holds(x)).alias("fields"),
         )
         .select("*", *[F.col("fields")[name].alias(f"f_{name}") for name in _MEMBERS])
         .select("*", *[F.when(_all_objects(name), F.col("slices")[name]).alias(name) for name in _ARRAYS])
@@ -73,8 +68,8 @@ def cut(logs: DataFrame) -> DataFrame:
             *kept,
             *[_object_text(name).alias(name) for name in _OBJECTS],
             *[F.when(whole, _array_text(name)).alias(name) for name in _ARRAYS],
-            F.to_json("f_ts").alias("ts_text"),
-            F.when(F.size("fields") > known, _inside(records.to_text(others))).alias("rest"),
+            records.unmarked(F.to_json("f_ts")).alias("ts_text"),
+            F.when(F.size("fields") > known, _inside(_clean(F.to_json(others)))).alias("rest"),
             records.get_string("f_page", "$.page_id").alias("page_id"),
             F.when(page, _items("displays")).alias("display_items"),
             F.when(page, _items("actions")).alias("action_items"),
@@ -133,7 +128,12 @@ def fan_out(pieces: DataFrame, topics: Iterable[str] = TOPICS) -> DataFrame:
 def _object_text(name: str) -> Column:
     """JSON text of a member. A text member is not sliced: its slice lacks the quotes."""
     field = F.col(f"f_{name}")
-    return F.coalesce(F.when(records.is_object(field), F.col("slices")[name]), F.to_json(field))
+    return _clean(F.coalesce(F.when(records.is_object(field), F.col("slices")[name]), F.to_json(field)))
+
+
+def _clean(text: Column) -> Column:
+    """A piece of a message as it goes out."""
+    return records.unmarked(records.without_nulls(text))
 
 
 def _all_objects(name: str) -> Column:
@@ -143,7 +143,7 @@ def _all_objects(name: str) -> Column:
 
 def _array_text(name: str) -> Column:
     sliced = F.concat(F.lit("["), F.array_join(name, ","), F.lit("]"))
-    return F.coalesce(sliced, F.to_json(f"f_{name}"))
+    return _clean(F.coalesce(sliced, F.to_json(f"f_{name}")))
 
 
 def _items(name: str) -> Column:
@@ -153,8 +153,9 @@ def _items(name: str) -> Column:
     """
     taken = _FROM_RECORD[name]
     objects = F.filter(records.get_array(f"f_{name}"), lambda e: e.isNotNull())
-    built = F.transform(objects, lambda e: _inside(records.to_text(records.remove(e, *taken))))
-    return F.coalesce(F.transform(F.transform(name, _inside), lambda e: _without(e, taken)), built)
+    built = F.transform(objects, lambda e: _inside(_clean(F.to_json(records.remove(e, *taken)))))
+    sliced = F.transform(name, lambda e: _inside(_clean(e)))
+    return F.coalesce(F.transform(sliced, lambda e: _without(e, taken)), built)
 
 
 def _without(inner: Column, names: tuple[str, ...]) -> Column:

@@ -30,7 +30,6 @@ def parse_logs(topic: DataFrame) -> DataFrame:
     value        STRING   the message
     v            VARIANT  the record
     raw          STRING   the message, only where the record may turn out unusable
-    has_null     BOOLEAN  the message may hold JSON nulls
     mid          STRING   device
     device       STRING   join key: ``mid``, or a spread key where it is missing
     is_new, ts   STRING, BIGINT (ms)
@@ -62,7 +61,6 @@ def parse_logs(topic: DataFrame) -> DataFrame:
         "value",
         "v",
         F.when(reason.isNotNull() | ~dates.is_dated(F.col("ts")), F.col("value")).alias("raw"),
-        F.col("value").contains("null").alias("has_null"),
         "mid",
         F.coalesce("mid", spread).alias("device"),
         "is_new",
