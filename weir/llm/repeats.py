@@ -37,14 +37,16 @@ EMPTY_SHA256 = sha256(b"").hexdigest()
 class Units:
     """How texts fall into units.
 
-    ``grams(texts)`` gives a hash for each unit (of the gram that begins there), where each text's units begin,
-    and the texts as the bytes that digests are made of. ``slicer(text)(start, n)`` gives the
+    ``grams(texts)`` gives a hash for each unit (of the gram that begins there) and where each text's units begin,
+    ``body(text)`` the bytes that digests are made of, ``count(body)`` the number of units. ``slicer(text)(start, n)`` gives the
     bytes of ``n`` units; ``glue`` stands between parts that are put together again.
     """
 
     length: int
     gram: int
-    grams: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, list[bytes]]]
+    grams: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
+    body: Callable[[bytes], bytes]
+    count: Callable[[bytes], int]
     slicer: Callable[[bytes], Callable[[int, int], bytes]]
     glue: bytes = b""
 
@@ -70,7 +72,7 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs_of_windows(hashes: np.ndarray, first: np.ndarray, units: Units):
-    """Runs of all texts: ``(text, start, windows, minimiser's place)``, places counted in the text."""
+    """Runs of all texts: text, start in it, number of windows, distance of the minimiser from the start, its hash."""
     n = np.diff(first)
     least = sliding_least(hashes, units.length - units.gram + 1)
     doc = np.repeat(np.arange(len(n)), n)[: len(least)]
@@ -81,18 +83,20 @@ def runs_of_windows(hashes: np.ndarray, first: np.ndarray, units: Units):
     new[1:] = (doc[1:] != doc[:-1]) | (least[1:] != least[:-1])
     at = np.flatnonzero(new)
     windows = np.diff(np.append(at, len(doc)))
-    return doc[at], place[at], windows, least[at] - first[doc[at]], hashes[least[at]]
+    return doc[at], place[at], windows, least[at] - first[doc[at]] - place[at], hashes[least[at]]
 
 
 def survey(docs: DataFrame, units: Units) -> DataFrame:
-    """``(doc_id, did, key, n, sha, h, start, windows, anchor)``: a row for a document, arrays over its runs.
+    """``(doc_id, did, key, n, sha, h, start, windows, off)``: a row for a document, arrays over its runs.
 
     ``did`` stands for the id, with NULL as the largest; ``key`` is the text's digest.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hashes, first, bodies = units.grams(byte_texts(batch.column(1)))
-        doc, start, windows, anchor, h = runs_of_windows(hashes, first, units)
+        texts = byte_texts(batch.column(1))
+        bodies = [units.body(t) for t in texts]
+        hashes, first = units.grams(texts)
+        doc, start, windows, off, h = runs_of_windows(hashes, first, units)
         offsets = np.searchsorted(doc, np.arange(batch.num_rows + 1))
         columns = [
             batch.column(0),
@@ -101,50 +105,57 @@ def survey(docs: DataFrame, units: Units) -> DataFrame:
             pa.array(np.diff(first), pa.int64()),
             pa.array([sha256(b).hexdigest() for b in bodies]),
             lists(h.view(np.int64), offsets, pa.int64()),
-            *[lists(x, offsets, pa.int32()) for x in (start.astype(np.int32), windows.astype(np.int32), anchor.astype(np.int32))],
+            *[lists(x, offsets, kind) for x, kind in ((start, pa.int32()), (windows, pa.int16()), (off, pa.int16()))],
         ]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "did", "key", "n", "sha", "h", "start", "windows", "anchor"])
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "did", "key", "n", "sha", "h", "start", "windows", "off"])
 
     schema = (
         "doc_id BIGINT, did BIGINT, key BINARY, n BIGINT, sha STRING, "
-        "h ARRAY<BIGINT>, start ARRAY<INT>, windows ARRAY<INT>, anchor ARRAY<INT>"
+        "h ARRAY<BIGINT>, start ARRAY<INT>, windows ARRAY<SMALLINT>, off ARRAY<SMALLINT>"
     )
     return map_batches(docs.select("doc_id", "text"), run, schema)
 
 
 def _packed(docs: DataFrame, wanted: DataFrame, units: Units) -> DataFrame:
-    """``(key, did, start, windows, anchor, h, pid, pack)`` of the runs in ``wanted (did, key, runs)``."""
+    """``(key, did, start, windows, off, h, pid, pack)`` of the runs in ``wanted (did, key, runs)``."""
+    names = ["key", "did", "start", "windows", "off", "h", "pid", "pack"]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        data = byte_texts(batch.column(1))
-        bodies = units.grams(data)[2]
-        for did, body, key, runs in zip(
-            batch.column(0).to_pylist(), bodies, batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True
+        runs = batch.column(3)
+        bounds = (runs.offsets.to_numpy() - runs.offsets[0].as_py()).tolist()
+        parts = dict(zip(("h", "start", "windows", "off"), runs.flatten().flatten(), strict=True))
+        start = parts["start"].to_numpy()
+        units_of = (parts["windows"].to_numpy().astype(np.int64) + (units.length - 1)).tolist()
+        start = start.tolist()
+        packs: list[bytes | None] = []
+        for text, key, a, b in zip(
+            byte_texts(batch.column(1)), batch.column(2).to_pylist(), bounds[:-1], bounds[1:], strict=True
         ):
+            body = units.body(text)
             if md5(body).digest() != key:  # another text under the same id
+                packs += [None] * (b - a)
                 continue
             cut = units.slicer(body)
-            for r in runs:
-                pack = cut(r["start"], r["windows"] + units.length - 1)
-                rows.append((key, did, r["start"], r["windows"], r["anchor"], r["h"], md5(pack).digest(), pack))
-        kinds = [pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-        columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 8, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, ["key", "did", "start", "windows", "anchor", "h", "pid", "pack"])
+            packs += [cut(i, n) for i, n in zip(start[a:b], units_of[a:b], strict=True)]
+        owner = pa.array(np.repeat(np.arange(batch.num_rows), np.diff(bounds)))
+        pids = [None if p is None else md5(p).digest() for p in packs]
+        columns = [batch.column(2).take(owner), batch.column(0).take(owner)]
+        columns += [parts[name] for name in ("start", "windows", "off", "h")] + [pa.array(pids, pa.binary()), pa.array(packs, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names)
 
     did = F.coalesce("doc_id", F.lit(_LAST))
     chosen = docs.select(did.alias("did"), "text").join(wanted, "did").select("did", "text", "key", "runs")
-    schema = "key BINARY, did BIGINT, start INT, windows INT, anchor INT, h BIGINT, pid BINARY, pack BINARY"
-    return map_batches(chosen, run, schema)
+    schema = "key BINARY, did BIGINT, start INT, windows SMALLINT, off SMALLINT, h BIGINT, pid BINARY, pack BINARY"
+    return map_batches(chosen, run, schema).where("pid IS NOT NULL")
 
 
-def order_text(did: str = "did", place: str = "anchor", key: str = "key") -> Column:
-    """Places in a text that sorts like them: ids, then places, then digests."""
-    number = F.lpad(F.hex(F.col(did).bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
-    return F.concat(number, F.lpad(F.hex(F.col(place).cast("bigint")), 8, "0"), F.hex(key))
+def order_text() -> Column:
+    """A minimiser's place as a text that sorts like it: by id, then by place, then by digest."""
+    number = F.lpad(F.hex(F.col("did").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    return F.concat(number, F.lpad(F.hex((F.col("start") + F.col("off")).cast("bigint")), 8, "0"), F.hex("key"))
 
 
-Bucket = list[tuple[bytes, int, str, bytes, int]]  # pid, copies, first place, packed run, windows
+Bucket = list[tuple[bytes, int, str, bytes, int, int]]  # pid, copies, first place, packed run, windows, off
 
 
 def _compared(packs: DataFrame, compare: Callable[[Bucket], list[tuple[bytes, bytes]]]) -> DataFrame:
@@ -175,7 +186,7 @@ def _compared(packs: DataFrame, compare: Callable[[Bucket], list[tuple[bytes, by
         if done:
             yield out()
 
-    columns = packs.select("h", "pid", "copies", "place", "pack", "windows")
+    columns = packs.select("h", "pid", "copies", "place", "pack", "windows", "off")
     return columns.repartition("h").sortWithinPartitions("h", "pid").mapInArrow(run, "pid BINARY, flags BINARY")
 
 
@@ -217,19 +228,19 @@ def repeated(
     """
     found = sealed(survey(docs, units), "repeats-survey")
     texts = sealed(found.groupBy("key").agg(F.min("did").alias("first"), F.count("*").alias("same")), "repeats-texts")
-    place = F.explode(F.arrays_zip("h", "start", "windows", "anchor")).alias("r")
-    runs = found.select("key", place).select("key", "r.h", "r.start", "r.windows", "r.anchor")
+    place = F.explode(F.arrays_zip("h", "start", "windows", "off")).alias("r")
+    runs = found.select("key", place).select("key", "r.h", "r.start", "r.windows", "r.off")
     # Equal texts name the same places, so they do not make a minimiser repeated.
     name = F.xxhash64("key", "start")
     ends = runs.select("h", name.alias("o")).groupBy("h").agg(F.min("o").alias("low"), F.max("o").alias("high"))
     twice = sealed(ends.where("low <> high").select("h"), "repeats-minimisers")
-    hits = runs.join(twice, "h").groupBy("key").agg(F.collect_set(F.struct("h", "start", "windows", "anchor")).alias("runs"))
+    hits = runs.join(twice, "h").groupBy("key").agg(F.collect_set(F.struct("h", "start", "windows", "off")).alias("runs"))
     wanted = sealed(hits.join(texts, "key").select(F.col("first").alias("did"), "key", "runs"), "repeats-wanted")
     packed = sealed(_packed(docs, wanted, units).withColumn("place", order_text()), "repeats-runs")
     packs = sealed(
         packed.groupBy("h", "pid").agg(
             F.count("*").alias("copies"), F.min("place").alias("place"),
-            F.any_value("pack").alias("pack"), F.any_value("windows").alias("windows"),
+            F.any_value("pack").alias("pack"), F.any_value("windows").alias("windows"), F.any_value("off").alias("off"),
         ),
         "repeats-packs",
     )
@@ -263,18 +274,17 @@ def repeated(
     )
 
 
-def covered(n: int, spans: list[dict], length: int) -> np.ndarray:
+def covered(n: int, start: list[int], windows: list[int], whole: list[bool], flags: list[bytes | None], length: int) -> np.ndarray:
     """Which of ``n`` units the marked windows cover."""
     steps = np.zeros(n + 1, np.int64)
-    for s in spans:
-        start, windows = s["start"], s["windows"]
-        if s["whole"]:
-            steps[start] += 1
-            steps[start + windows + length - 1] -= 1
+    for at, count, every, marks in zip(start, windows, whole, flags, strict=True):
+        if every:
+            steps[at] += 1
+            steps[at + count + length - 1] -= 1
         else:
-            at = start + np.flatnonzero(np.frombuffer(s["flags"], np.uint8))
-            np.add.at(steps, at, 1)
-            np.add.at(steps, at + length, -1)
+            places = at + np.flatnonzero(np.frombuffer(marks, np.uint8))
+            np.add.at(steps, places, 1)
+            np.add.at(steps, places + length, -1)
     return np.cumsum(steps[:-1]) > 0
 
 
@@ -282,19 +292,23 @@ def _removed(docs: DataFrame, wanted: DataFrame, units: Units) -> DataFrame:
     """``(key, n_removed, n_spans, kept_sha)`` of texts with marked windows."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        spans = batch.column(3)
+        bounds = (spans.offsets.to_numpy() - spans.offsets[0].as_py()).tolist()
+        parts = [part.to_pylist() for part in spans.flatten().flatten()]
         rows = []
-        hashes, first, bodies = units.grams(byte_texts(batch.column(1)))
-        for body, n, key, spans in zip(
-            bodies, np.diff(first).tolist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True
+        for text, key, a, b in zip(
+            byte_texts(batch.column(1)), batch.column(2).to_pylist(), bounds[:-1], bounds[1:], strict=True
         ):
+            body = units.body(text)
             if md5(body).digest() != key:
                 continue
-            gone = covered(n, spans, units.length)
+            n = units.count(body)
+            gone = covered(n, *[part[a:b] for part in parts], units.length)
             edges = np.flatnonzero(np.diff(gone.view(np.int8), prepend=0, append=0))
             cut = units.slicer(body)
-            bounds = [0, *edges.tolist(), n]
-            parts = [cut(a, b - a) for a, b in zip(bounds[::2], bounds[1::2], strict=True) if b > a]
-            rows.append((key, int(gone.sum()), len(edges) // 2, sha256(units.glue.join(parts)).hexdigest()))
+            ends = [0, *edges.tolist(), n]
+            left = [cut(i, j - i) for i, j in zip(ends[::2], ends[1::2], strict=True) if j > i]
+            rows.append((key, int(gone.sum()), len(edges) // 2, sha256(units.glue.join(left)).hexdigest()))
         kinds = [pa.binary(), pa.int64(), pa.int64(), pa.string()]
         columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 4, kinds, strict=True)]
         return pa.RecordBatch.from_arrays(columns, ["key", "n_removed", "n_spans", "kept_sha"])

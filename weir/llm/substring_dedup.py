@@ -23,18 +23,26 @@ _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def _grams(gram: int):
-    def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = joined(texts)
         starts, ends = runs(separator_table()[data])
         words = run_hashes(data, starts, ends)
         state = np.zeros(len(words), np.uint64)
         for k in range(gram):  # grams that leave their text are in no window of it
             state = mixed(state * np.uint64(0x9E3779B97F4A7C15) + np.roll(words, -k))
-        return state, np.searchsorted(starts, offsets), [b" ".join(_WORD.findall(t)) for t in texts]
+        return state, np.searchsorted(starts, offsets)
 
     return grams
 
 
+def _body(text: bytes) -> bytes:
+    return b" ".join(_WORD.findall(text))
+
+
+def _count(body: bytes) -> int:
+    return body.count(b" ") + 1 if body else 0
+
+
 def _slicer(body: bytes):
     """Words ``start`` to ``start + n`` of words joined by spaces."""
     at = np.concatenate([[0], np.flatnonzero(np.frombuffer(body, np.uint8) == 32) + 1, [len(body) + 1]]).tolist()
@@ -42,17 +50,17 @@ def _slicer(body: bytes):
 
 
 def word_units(length: int = LENGTH, gram: int = GRAM) -> Units:
-    return Units(length, min(gram, length), _grams(min(gram, length)), _slicer, b" ")
+    return Units(length, min(gram, length), _grams(min(gram, length)), _body, _count, _slicer, b" ")
 
 
 def count_windows(length: int):
     def compare(bucket: Bucket) -> list[tuple[bytes, bytes]]:
         windows = []
-        for r, (_, _, _, pack, n) in enumerate(bucket):
+        for r, (_, _, _, pack, n, _) in enumerate(bucket):
             cut = _slicer(pack)
             windows += [(cut(j, length), r, j) for j in range(n)]
         windows.sort()
-        flags = [bytearray(n) for *_, n in bucket]
+        flags = [bytearray(row[4]) for row in bucket]
         i = 0
         while i < len(windows):
             window, k = windows[i][0], i

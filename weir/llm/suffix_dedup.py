@@ -103,20 +103,68 @@ def suffix_array(text: bytes) -> list[int]:
         k += 1
 
 
+def _common(a: bytes, b: bytes) -> int:
+    """How many bytes two strings have in common at their start."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:
+        middle = (low + high) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle
+    return low
+
+
+def _most_common(sides: list[bytes]) -> list[int]:
+    """For each string the longest start it has in common with another one: with a neighbour in sorted order."""
+    order = sorted(range(len(sides)), key=sides.__getitem__)
+    out = [0] * len(sides)
+    for x, y in zip(order[:-1], order[1:], strict=True):
+        n = _common(sides[x], sides[y])
+        out[x], out[y] = max(out[x], n), max(out[y], n)
+    return out
+
+
 def first_windows(length: int):
     def compare(bucket: Bucket) -> list[tuple[bytes, bytes]]:
         """Windows that stand in a run with an earlier place.
 
-        Equal windows have their minimiser at the same distance, so the places of runs compare like theirs.
+        Equal windows have their minimiser at the same distance, so the places of runs compare like theirs. What a run shares
+        with no other, on either side of its minimiser, is cut off before suffixes are sorted; what is left is often equal.
         """
         if len(bucket) < 2:
             return []
-        rank = {r: k for k, r in enumerate(sorted(range(len(bucket)), key=lambda r: bucket[r][2]))}
-        text = _END.join([row[3] for row in bucket] + [b""])
-        run = []
-        for r, row in enumerate(bucket):
-            run += [(r, j) for j in range(row[4])] + [None] * (length - 1 + len(_END))
+        rank = [0] * len(bucket)
+        for k, r in enumerate(sorted(range(len(bucket)), key=lambda r: bucket[r][2])):
+            rank[r] = k
+        left = _most_common([row[3][: row[5]][::-1] for row in bucket])
+        right = _most_common([row[3][row[5] :] for row in bucket])
         flags = [bytearray(row[4]) for row in bucket]
+        pieces: dict[tuple[bytes, int], list[int]] = {}
+        for r, row in enumerate(bucket):
+            if left[r] + right[r] >= length:
+                pieces.setdefault((row[3][row[5] - left[r] : row[5] + right[r]], left[r]), []).append(r)
+        ahead = []
+        for (piece, before), owners in pieces.items():
+            first = min(owners, key=rank.__getitem__)
+            ahead.append((piece, first))
+            for r in owners:
+                if r != first:
+                    at = bucket[r][5] - before
+                    n = len(piece) - length + 1
+                    flags[r][at : at + n] = b"\1" * n
+        if len(ahead) > 1:
+            _mark(ahead, [bucket[r][5] - left[r] for _, r in ahead], rank, flags)
+        return [(row[0], bytes(f)) for row, f in zip(bucket, flags, strict=True) if any(f)]
+
+    def _mark(ahead: list[tuple[bytes, int]], shift: list[int], rank: list[int], flags: list[bytearray]) -> None:
+        text = _END.join([piece for piece, _ in ahead] + [b""])
+        owner: list[tuple[int, int] | None] = []
+        for (piece, r), at in zip(ahead, shift, strict=True):
+            n = len(piece) - length + 1
+            owner += [(r, at + j) for j in range(n)] + [None] * (length - 1 + len(_END))
         stretch: list[tuple[int, int]] = []
         window = None
 
@@ -128,20 +176,19 @@ def first_windows(length: int):
                         flags[r][j] = 1
 
         for i in suffix_array(text):
-            if (here := run[i]) is None:
+            if (here := owner[i]) is None:
                 continue
             if text[i : i + length] != window:
                 close()
                 stretch, window = [], text[i : i + length]
             stretch.append(here)
         close()
-        return [(row[0], bytes(f)) for row, f in zip(bucket, flags, strict=True) if any(f)]
 
     return compare
 
 
 def _grams(gram: int):
-    def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         first = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         state = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64) + np.uint64(1)
         step, wrap = 0x9E3779B97F4A7C15, 1 << 64
@@ -154,7 +201,7 @@ def _grams(gram: int):
             if size > gram:
                 break
             state = state + np.roll(state, -(size // 2)) * np.uint64(pow(step, size // 2, wrap))
-        return mixed(total), first, texts
+        return mixed(total), first
 
     return grams
 
@@ -164,7 +211,7 @@ def _slicer(body: bytes):
 
 
 def byte_units(length: int = LENGTH, gram: int = GRAM) -> Units:
-    return Units(length, min(gram, length), _grams(min(gram, length)), _slicer)
+    return Units(length, min(gram, length), _grams(min(gram, length)), bytes, len, _slicer)
 
 
 def remove_repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
