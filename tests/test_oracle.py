@@ -4,13 +4,15 @@ import pytest
 
 import __spark_entry__
 from tests import oracle
+from weir.plans import catalog, oracles
 
-QUERIES = __spark_entry__.queries()
-SQL = __spark_entry__.oracle_sql()
+QUERIES = catalog.QUERIES
+SQL = oracles.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(__spark_entry__.queries()) and set(SQL) <= set(__spark_entry__.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -83,6 +83,35 @@ def topic_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(i.alias("seq"), _message(i, i % 97 == 0, body).alias("value"))
 
 
+def topic_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """App logs that carry each event's value as a number written in one of five ways; half of them also
+    hold text that has nothing to do with it: the word null in quotes, or an id of twenty digits.
+    """
+    i, cents = F.col("event_id"), F.col("cents")
+    whole = _text(F.floor(cents / 100))
+    number = (
+        F.when(i % 5 == 0, F.concat(whole, F.lit("."), F.lpad(_text(cents % 100), 2, "0")))
+        .when(i % 5 == 1, F.concat(whole, F.lit(".0")))
+        .when(i % 5 == 2, F.concat(F.lit("98765432"), F.lpad(_text(cents), 12, "0"), F.lit(".50")))
+        .when(i % 5 == 3, F.concat(F.lit("-0."), F.lpad(_text(cents), 25, "0")))
+        .otherwise(F.concat(_text(cents), F.lit("E+2")))
+    )
+    other = (
+        F.when(i % 4 == 1, F.lit(',"other":"null"'))
+        .when(i % 4 == 3, F.concat(F.lit(',"other":"12345678901234567890","gone":{"deep":{"er":[{"still":{"x":null}}]}}')))
+        .otherwise("")
+    )
+    events = _table(spark, sf_dir, "events").select(
+        "event_id", "user_id", dates.epoch_ms(F.col("ts")).alias("ms"),
+        F.floor(F.abs(F.coalesce("value", F.lit(0.0))) * 100).cast("bigint").alias("cents"),
+    )
+    value = F.concat(
+        F.lit('{"common":{"is_new":"0","mid":"m'), _text("user_id"), F.lit('"},"page":{"page_id":"p","x":'), number,
+        F.lit('},"displays":[{"item":"a","y":'), number, F.lit('}],"ts":'), _text("ms"), other, F.lit("}"),
+    )
+    return events.select(i.alias("seq"), value.alias("value"))
+
+
 def topic_db(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change log of four tables: an insert per row, some updates, some deletes."""
     tables = (

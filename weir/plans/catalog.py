@@ -263,6 +263,12 @@ def log_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _messages(log_flow.split_logs(fixtures.topic_log(spark, sf_dir)))
 
 
+def log_number_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole output texts: numbers as they came, null members gone, whatever else a message holds."""
+    rows = log_flow.split_logs(fixtures.topic_numbers(spark, sf_dir), [split.PAGE, split.DISPLAY])
+    return rows.select("seq", "topic", "value")
+
+
 def log_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages and new-visitor messages per output topic and day: the whole log flow, counted."""
     rows = log_fanout(spark, sf_dir).where(F.col("topic") != split.DIRTY)
@@ -368,6 +374,7 @@ QUERIES: dict[str, Query] = {
         log_display,
         log_action,
         log_fanout,
+        log_number_text,
         log_daily,
         date_functions,
         stream_first_visit,

@@ -116,6 +116,32 @@ WITH feed AS (
 """
 
 
+# App logs with a value written in five ways, and their output texts.
+_NUMBERS = """
+WITH events_ AS (
+  SELECT event_id AS i, user_id, epoch_us(ts) // 1000 AS ms,
+         CAST(floor(abs(coalesce(value, 0.0)) * 100) AS BIGINT) AS cents FROM events
+), texts AS (
+  SELECT *, CASE i % 5
+    WHEN 0 THEN (cents // 100) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0')
+    WHEN 1 THEN (cents // 100) || '.0'
+    WHEN 2 THEN '98765432' || lpad(CAST(cents AS VARCHAR), 12, '0') || '.50'
+    WHEN 3 THEN '-0.' || lpad(CAST(cents AS VARCHAR), 25, '0')
+    ELSE cents || 'E+2' END AS x,
+  CASE i % 4 WHEN 1 THEN ',"other":"null"'
+             WHEN 3 THEN ',"gone":{"deep":{"er":[{"still":{}}]}},"other":"12345678901234567890"' ELSE '' END AS rest
+  FROM events_
+)
+SELECT i AS seq, 'dwd_traffic_page_log' AS topic,
+       '{"common":{"is_new":"0","mid":"m' || user_id || '"},"page":{"page_id":"p","x":' || x || '},"ts":' || ms || rest || '}' AS value
+FROM texts
+UNION ALL
+SELECT i, 'dwd_traffic_display_log',
+       '{"item":"a","y":' || x || ',"ts":' || ms || ',"common":"{\\"is_new\\":\\"0\\",\\"mid\\":\\"m' || user_id || '\\"}","page_id":"p"}'
+FROM texts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "db_dirty": _CHANGES + "SELECT seq, 'junk ' || seq AS value FROM messages WHERE seq % 101 = 0",
@@ -205,6 +231,7 @@ SELECT seq, mid, is_new, kind AS page_id, 'a' || n AS action_id, ms + n AS ts,
        'action_id,common,page_id,ts' AS keys
 FROM logs, unnest(range(1, seq % 2 + 2)) AS t(n) WHERE acts""",
         "log_fanout": _FANOUT,
+        "log_number_text": _NUMBERS,
         "log_daily": _MESSAGES
         + """
 SELECT topic, CAST(make_timestamp(ts * 1000) + INTERVAL 8 HOUR AS DATE) AS day,
