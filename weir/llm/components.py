@@ -27,11 +27,14 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         moved = hung.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
             least.select(F.col("u").alias("a"), F.col("m").alias("b"))
         )
-    return moved.where("a <> b").distinct()
+    return moved.where("a <> b")
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _done(edges: DataFrame) -> bool:
+    """Whether all edges ``(a, b)`` lead from a node that has no other one to a node that has none."""
+    two = edges.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high")).where("low <> high")
+    further = edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi")
+    return two.isEmpty() and further.isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -41,11 +44,10 @@ def components(edges: DataFrame) -> DataFrame:
     edges is never gathered; rounds grow with the logarithm of the longest path. Edges with a NULL end or from
     a node to itself, and repeated edges, change nothing.
     """
-    now = sealed(edges.where("a <> b").select("a", "b").distinct(), "components")
-    before = None
-    while (state := _state(now)) != before:
-        before = state
-        now = sealed(_star(_star(now, large=True), large=False), "components")
+    lower = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now = sealed(lower.distinct(), "components")
+    while not _done(now):
+        now = sealed(_star(_star(now, large=True), large=False).distinct(), "components")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

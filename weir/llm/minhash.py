@@ -113,14 +113,14 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """``(node, shingles)`` of the documents named by ``ids``."""
+    """``(node, shingles)`` of the documents named by ``ids``; a repeated id has a row for each of its rows."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, first = shingle_sets(byte_texts(batch.column(1)), size)
         return pa.RecordBatch.from_arrays([batch.column(0), lists(hashes.view(np.int64), first, pa.int64())], ["node", "shingles"])
 
     chosen = docs.select("doc_id", "text").join(ids.select(F.col("node").alias("doc_id")), "doc_id")
-    return map_batches(chosen, run, "node BIGINT, shingles ARRAY<BIGINT>").dropDuplicates(["node"])
+    return map_batches(chosen, run, "node BIGINT, shingles ARRAY<BIGINT>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -159,9 +159,8 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = PERCENT) -> D
     labels = links = tried = None
     turn = 0
     while True:
-        if labels is None:
-            now = members.withColumn("component", F.col("node"))
-        else:
+        now = members.withColumn("component", F.col("node"))
+        if labels is not None:
             now = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         # The first centre is the smallest member, the same in most buckets of a group; later ones vary.
         rank = F.col("node") if turn == 0 else F.xxhash64("bucket", "node", F.lit(turn))
@@ -171,21 +170,22 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = PERCENT) -> D
                  F.min_by("component", rank).alias("own"))
             .where("low <> high").select("bucket", "centre", "own")
         )
-        pairs = (
-            now.join(centres, "bucket").where("component <> own")
-            .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-        )
+        # Buckets whose members are all linked are done with.
+        members = sealed(now.join(centres, "bucket"), "minhash-open")
+        pairs = members.where("component <> own").select(
+            F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
+        ).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = sealed(pairs, "minhash-pairs")
         fresh = sealed(_confirmed(pairs, sets, percent), "minhash-links")
-        if fresh.isEmpty():
-            if turn:
-                break
-        else:
+        if not fresh.isEmpty():
             links = fresh if links is None else links.unionByName(fresh)
             labels = components(links)
+        elif turn:
+            break
         tried = pairs if tried is None else tried.unionByName(pairs)
+        members = members.select("bucket", "node")
         turn += 1
     of_set = nodes.select("set_key", "node")
     if labels is not None:
