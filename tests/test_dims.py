@@ -77,22 +77,22 @@ def test_last_valid_rule_wins_and_tables_are_not_altered(spark):
 def test_sample_rule_and_snapshot(spark):
     topic = spark.createDataFrame([(5, samples.RULE_CHANGE), (6, "junk")], "seq bigint, value string")
     snapshot = spark.createDataFrame(
-        [("aa", "old", "id", None, None), ("zz", "dim_z", "id", None, "x")], ", ".join(
+        [("from_here", "old", "id", None, None), ("zz", "dim_z", "id", None, "x")], ", ".join(
             f"{n} string" for n in rules.RULE_FIELDS)
     )
     both = rules.snapshot_then_changes(rules.from_snapshot(snapshot), rules.from_change_feed(topic))
     active = routing.active_rules(both).orderBy("source_table").collect()
     assert [(r.source_table, r.sink_table, r.sink_pk, r.sink_extend) for r in active] == [
-        ("aa", "bb", "id", "xxx"), ("zz", "dim_z", "id", "x"),
+        ("from_here", "to_there", "id", "more"), ("zz", "dim_z", "id", "x"),
     ]
 
 
 def test_sample_change(spark):
     row = changes(spark, samples.CHANGE).first()
     assert (row.database, row.source_table, row.type, row.ts, row.xid, row.commit) == (
-        "shop", "base_trademark", "insert", 1652499161, 167, True,
+        "shop", "maker", "insert", 1700000000, 12, True,
     )
-    assert row.data == {"id": "13", "tm_name": "acme", "logo_url": "/aaa/aaa"}
+    assert row.data == {"id": "8", "name": "two", "logo": "/logo/8"}
 
 
 def test_kept_changes(spark):
@@ -182,6 +182,16 @@ def test_plans(spark, sf_dir):
     routed = dim_flow.routed_changes(fixtures.topic_db(spark, sf_dir), fixtures.routing_changes(spark))
     plan = routed._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    rows = dim_flow.dimension_rows(fixtures.topic_db(spark, sf_dir), fixtures.routing_changes(spark))
+    rows = dim_flow.dimension_cells(fixtures.topic_db(spark, sf_dir), fixtures.routing_changes(spark))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
+
+
+def test_rules_that_arrive_together_have_one_order(spark):
+    names = ", ".join(f"{n} string" for n in rules.RULE_FIELDS)
+    rows = [("b", "dim", "id,b", None, None), ("a", "dim", "id,a", None, None), ("a", "dim", "id,c", None, None)]
+    found = set()
+    for given in (rows, rows[::-1], rows[1:] + rows[:1]):
+        table = routing.routing_table(rules.from_snapshot(spark.createDataFrame(given, names)))
+        found.add(tuple(sorted((r.source_table, r.sink_columns, tuple(r.table_columns)) for r in table.collect())))
+    assert found == {(("a", "id,c", ("id", "a")), ("b", "id,b", ("id", "a")))}

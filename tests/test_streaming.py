@@ -133,3 +133,44 @@ def test_named_streams_have_no_watermark(spark):
     stream = topics.stream_files(spark, path)
     assert "EventTimeWatermark" not in stream._jdf.queryExecution().analyzed().toString()
     assert stream.isStreaming and dims.parse_changes(stream).isStreaming
+
+
+def test_a_retry_keeps_the_rules_of_its_first_run(spark):
+    feed = new_path(spark, "rules")
+    messages(spark, [rule("t", "dim_t", "id,a")]).write.parquet(feed)
+    job = DimJob(new_path(spark, "job"), lambda s: rules.from_change_feed(topics.read_files(s, feed)))
+    batch = messages(spark, [change("t", id=1, a=1), change("u", id=2)])
+    job.process(batch, 0)
+    messages(spark, [rule("u", "dim_u", "id")], 10).write.mode("append").parquet(feed)
+    job.process(batch, 0)
+    assert [r.pk for r in job.accepted(spark).collect()] == ["1"]
+    job.process(messages(spark, [change("u", id=3)], 20), 1)
+    assert sorted(r.pk for r in job.accepted(spark).collect()) == ["1", "3"]
+
+
+def test_state_of_a_long_job_stays_small(spark, tmp_path):
+    """Directories and rows that a batch reads do not grow with the number of batches before it."""
+    table = BatchTable(str(tmp_path / "t"), "a BIGINT")
+    seen = []
+    for n in range(40):
+        table.write(spark.range(2).selectExpr("id AS a"), n)
+        if (n + 1) % 5 == 0:
+            table.write_snapshot(table.read_through(spark, n).select("a").distinct(), n)
+            table.forget(spark, n - 5)
+        seen.append((len(list((tmp_path / "t").glob("*/batch_id=*"))), table.read(spark).count()))
+    assert max(d for d, _ in seen[20:]) <= max(d for d, _ in seen[10:20]) <= 14
+    assert max(r for _, r in seen) <= 12
+    assert table.read(spark, before=36).select("a").distinct().count() == 2
+
+
+def test_files_of_a_batch_stay_few(spark):
+    feed = new_path(spark, "rules")
+    messages(spark, [rule("t", "dim_t", "id"), rule("u", "dim_u", "id")]).write.parquet(feed)
+    job = DimJob(new_path(spark, "job"), lambda s: rules.from_change_feed(topics.read_files(s, feed)))
+    batch = spark.range(0, 4000, numPartitions=64).selectExpr(
+        "id AS seq",
+        "concat('{\"database\":\"shop\",\"table\":\"', if(id % 4 = 0, 'u', 't'), '\",\"type\":\"insert\",\"data\":{\"id\":', id, '}}') AS value",
+    )
+    job.process(batch, 0)
+    files = job.routed.read(spark).inputFiles()
+    assert len(files) < 20 and job.accepted(spark).count() == 4000

@@ -178,6 +178,18 @@ def routing_changes(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {values} AS t(seq, value)")
 
 
+def routing_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of rules, one per row of ``nation``; five sources share each target, with different columns."""
+    k = F.col("n_nationkey")
+    return _table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("src_"), _text(k)).alias("source_table"),
+        F.concat(F.lit("dim_shared_"), _text(k % 5)).alias("sink_table"),
+        F.concat(F.lit("id,n"), _text(k)).alias("sink_columns"),
+        F.lit(None).cast("string").alias("sink_pk"),
+        F.lit(None).cast("string").alias("sink_extend"),
+    )
+
+
 def routing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routing changes, one per row of ``part``: about fifty source tables whose rules keep changing."""
     k = F.col("k")

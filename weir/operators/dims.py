@@ -142,16 +142,21 @@ def latest_rows(rows: DataFrame, columns: list[str], order: Column | str = "seq"
     return rows.groupBy("sink_table", "pk").agg(*[last(c) for c in columns])
 
 
+def latest_cells(rows: DataFrame, order: Column | str = "seq") -> DataFrame:
+    """``(sink_table, pk, column, value)``: the last value written to each column of each dimension row.
+
+    Names stay in rows, so tables of any columns are resolved together.
+    """
+    position = F.col(order) if isinstance(order, str) else order
+    cells = rows.select("sink_table", "pk", position.alias("at"), F.explode("data").alias("column", "cell"))
+    last = F.max_by(F.struct("cell"), "at")["cell"]
+    return cells.groupBy("sink_table", "pk", "column").agg(last.alias("value"))
+
+
 def latest_maps(rows: DataFrame, order: Column | str = "seq") -> DataFrame:
     """The same as :func:`latest_rows` with any columns, as ``(sink_table, pk, data)``.
 
     Reduces per cell first, so what is gathered per row is bounded by the columns of its table.
     """
-    position = F.col(order) if isinstance(order, str) else order
-    cells = rows.select("sink_table", "pk", position.alias("at"), F.explode("data").alias("column", "cell"))
-    return (
-        cells.groupBy("sink_table", "pk", "column")
-        .agg(F.max_by(F.struct("cell"), "at").alias("last"))
-        .groupBy("sink_table", "pk")
-        .agg(F.map_from_entries(F.collect_list(F.struct("column", "last.cell"))).alias("data"))
-    )
+    cells = latest_cells(rows, order).groupBy("sink_table", "pk")
+    return cells.agg(F.map_from_entries(F.collect_list(F.struct("column", "value"))).alias("data"))

@@ -48,7 +48,8 @@ def active_rules(rules: DataFrame) -> DataFrame:
     return (
         valid_rules(rules)
         .groupBy("source_table")
-        .agg(F.max_by(F.struct(*kept), "seq").alias("rule"))
+        # Rows of a snapshot arrive together; their fields settle which one counts.
+        .agg(F.max_by(F.struct(*kept), F.struct("seq", *kept)).alias("rule"))
         .select("source_table", "rule.*")
     )
 
@@ -56,12 +57,13 @@ def active_rules(rules: DataFrame) -> DataFrame:
 def target_tables(rules: DataFrame) -> DataFrame:
     """``(sink_table, table_columns, table_pk)`` as the first valid rule made it.
 
-    Later rules for the same table find it there and do not alter it.
+    Later rules for the same table find it there and do not alter it. Of rules that arrive together
+    the one of the first source table makes it.
     """
     return (
         valid_rules(rules)
         .groupBy("sink_table")
-        .agg(F.min_by(F.struct("columns", "sink_pk"), "seq").alias("made"))
+        .agg(F.min_by(F.struct("columns", "sink_pk"), F.struct("seq", "source_table", "columns", "sink_pk")).alias("made"))
         .select(
             "sink_table",
             F.col("made.columns").alias("table_columns"),

@@ -77,6 +77,18 @@ def config_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.active_rules(feed).select("source_table", "sink_table", "sink_columns", "sink_pk")
 
 
+def config_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules of a snapshot, several sources sharing a target, followed by the changes made after it."""
+    both = rules.snapshot_then_changes(
+        rules.from_snapshot(fixtures.routing_snapshot(spark, sf_dir)),
+        rules.from_change_feed(fixtures.routing_feed(spark, sf_dir)),
+    )
+    table = routing.routing_table(both)
+    return table.select(
+        "source_table", "sink_table", "sink_pk", F.array_join("table_columns", ",").alias("table_columns"), "table_pk"
+    )
+
+
 def target_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.target_columns(rules.from_change_feed(fixtures.routing_feed(spark, sf_dir)))
 
@@ -120,7 +132,8 @@ def dim_project_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dim_flow.dimension_rows(fixtures.topic_db(spark, sf_dir), fixtures.routing_changes(spark))
+    """The last value of every cell of the dimension tables."""
+    return dim_flow.dimension_cells(fixtures.topic_db(spark, sf_dir), fixtures.routing_changes(spark))
 
 
 # --- app logs ---------------------------------------------------------------------------------
@@ -347,8 +360,7 @@ def stream_dim_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _dim_job(spark, sf_dir).accepted(spark)
-    return dims.latest_rows(rows, dim_flow.table_columns(fixtures.routing_changes(spark)), arrival())
+    return dims.latest_cells(_dim_job(spark, sf_dir).accepted(spark), arrival())
 
 
 QUERIES: dict[str, Query] = {
@@ -358,6 +370,7 @@ QUERIES: dict[str, Query] = {
         db_changes,
         record_functions,
         config_latest,
+        config_snapshot,
         target_columns,
         dim_route,
         dim_unmatched,

@@ -8,10 +8,6 @@ from weir.operators import dims, routing
 from weir.sources import rules
 from weir.streaming.storage import written
 
-# One wide result has a column per column of any target table.
-MAX_COLUMNS = 2_000
-
-
 def routed_changes(
     topic: DataFrame, rule_changes: DataFrame, match: str = "exact", with_dirty: bool = False
 ) -> DataFrame:
@@ -24,16 +20,6 @@ def routed_changes(
     return dims.route(changes, table, match)
 
 
-def table_columns(rule_changes: DataFrame) -> list[str]:
-    """Names of all columns of all target tables, for one wide result."""
-    columns = routing.target_columns(rules.from_change_feed(rule_changes)).select("column").distinct()
-    names = sorted(row["column"] for row in columns.limit(MAX_COLUMNS + 1).collect())
-    if len(names) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} columns: resolve table by table")
-    return names
-
-
-def dimension_rows(topic: DataFrame, rule_changes: DataFrame) -> DataFrame:
-    """What the dimension tables hold after all changes."""
-    rows = dims.accepted(routed_changes(topic, rule_changes))
-    return dims.latest_rows(rows, table_columns(rule_changes))
+def dimension_cells(topic: DataFrame, rule_changes: DataFrame) -> DataFrame:
+    """What the dimension tables hold after all changes, a row per cell."""
+    return dims.latest_cells(dims.accepted(routed_changes(topic, rule_changes)))

@@ -84,15 +84,17 @@ SELECT seq, source_table, sink_table, CAST(k AS VARCHAR) AS pk FROM changes WHER
 _DIM_UPSERT = (
     _CHANGES
     + """
+, rows_ AS (SELECT * FROM changes WHERE sink_table IS NOT NULL)
 SELECT sink_table, CAST(k AS VARCHAR) AS pk,
-       CASE WHEN sink_table = 'dim_customer' THEN CAST(k AS VARCHAR) END AS c_custkey,
-       CASE WHEN sink_table = 'dim_customer' THEN arg_max(named, seq) END AS c_name,
-       max(CASE WHEN sink_table = 'dim_customer' AND version = 0 THEN extra END) AS c_mktsegment,
-       CASE WHEN sink_table = 'dim_nation' THEN CAST(k AS VARCHAR) END AS id,
-       CASE WHEN sink_table = 'dim_nation' THEN arg_max(named, seq) END AS n_name,
-       CASE WHEN sink_table = 'dim_supplier' THEN CAST(k AS VARCHAR) END AS s_suppkey,
-       CAST(NULL AS VARCHAR) AS s_name_full
-FROM changes WHERE sink_table IS NOT NULL GROUP BY sink_table, k
+       CASE sink_table WHEN 'dim_customer' THEN 'c_custkey' WHEN 'dim_nation' THEN 'id' ELSE 's_suppkey' END AS "column",
+       CAST(k AS VARCHAR) AS value
+FROM rows_ GROUP BY sink_table, k
+UNION ALL
+SELECT sink_table, CAST(k AS VARCHAR), CASE sink_table WHEN 'dim_customer' THEN 'c_name' ELSE 'n_name' END, arg_max(named, seq)
+FROM rows_ WHERE sink_table <> 'dim_supplier' GROUP BY sink_table, k
+UNION ALL
+SELECT sink_table, CAST(k AS VARCHAR), 'c_mktsegment', extra
+FROM rows_ WHERE sink_table = 'dim_customer' AND version = 0 AND extra IS NOT NULL
 """
 )
 
@@ -168,6 +170,19 @@ FROM messages""",
 SELECT source_table, arg_max(sink_table, seq) AS sink_table, arg_max(sink_columns, seq) AS sink_columns,
        arg_max(sink_pk, seq) AS sink_pk
 FROM valid GROUP BY source_table""",
+        "config_snapshot": _RULES
+        + """, both_ AS (
+  SELECT seq, source_table, sink_table, sink_pk, names FROM valid
+  UNION ALL
+  SELECT -1, 'src_' || n_nationkey, 'dim_shared_' || (n_nationkey % 5), 'id', ['id', 'n' || n_nationkey] FROM nation
+), active AS (
+  SELECT source_table, arg_max(sink_table, seq) AS sink_table, arg_max(sink_pk, seq) AS sink_pk FROM both_ GROUP BY 1
+), first_ AS (
+  SELECT sink_table, names, sink_pk, row_number() OVER (PARTITION BY sink_table ORDER BY seq, source_table) AS n FROM both_
+)
+SELECT source_table, sink_table, a.sink_pk, array_to_string(list_transform(f.names, lambda x: trim(x)), ',') AS table_columns,
+       f.sink_pk AS table_pk
+FROM active a JOIN first_ f USING (sink_table) WHERE f.n = 1""",
         "target_columns": _RULES
         + """, made AS (
   SELECT sink_table, arg_min(names, seq) AS names, arg_min(sink_pk, seq) AS pk FROM valid GROUP BY sink_table

@@ -6,23 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weir.operators import dims
 
-# Tables are created one by one from the driver; rules name a few per source table.
-MAX_TABLES = 10_000
-
-
 def create_statement(sink_table: str, columns: list[str], database: str) -> str:
     body = ", ".join(f"`{column}` STRING" for column in columns)
     return f"CREATE TABLE IF NOT EXISTS `{database}`.`{sink_table}` ({body}) USING parquet"
 
 
 def create_tables(spark: SparkSession, targets: DataFrame, database: str = "default") -> list[str]:
-    """Create the tables of ``routing.target_tables`` that do not exist; existing ones stay as they are."""
-    rows = targets.select("sink_table", "table_columns").limit(MAX_TABLES + 1).collect()
-    if len(rows) > MAX_TABLES:
-        raise ValueError(f"more than {MAX_TABLES} target tables")
-    for row in rows:
-        spark.sql(create_statement(row.sink_table, row.table_columns, database))
-    return sorted(row.sink_table for row in rows)
+    """Create the tables of ``routing.target_tables`` that do not exist; existing ones stay as they are.
+
+    Rows come to the driver one after the other, as each needs a statement of its own. Gives the names of new tables.
+    """
+    made = []
+    for row in targets.select("sink_table", "table_columns").toLocalIterator():
+        if not spark.catalog.tableExists(f"`{database}`.`{row.sink_table}`"):
+            spark.sql(create_statement(row.sink_table, row.table_columns, database))
+            made.append(row.sink_table)
+    return sorted(made)
 
 
 def publish(

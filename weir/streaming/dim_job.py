@@ -16,6 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from weir.operators import dims, routing
 from weir.streaming.storage import BatchTable, arrival
 
+# Batches whose routing tables are kept, for retries.
+KEPT_RULES = 10
+
 _ROUTED = (
     "seq BIGINT, source_table STRING, pk STRING, data MAP<STRING,STRING>, reason STRING, "
     "value STRING, status STRING, sink_table STRING"
@@ -53,11 +56,15 @@ class DimJob:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # Written first, so the join sees how large the table really is.
-        self.routing.write(routing.routing_table(self.load_rules(spark)), batch_id)
+        # Written first, so the join sees how large the table really is; a retry finds the rules of its first run.
+        if not self.routing.has(spark, batch_id):
+            self.routing.write(routing.routing_table(self.load_rules(spark)), batch_id)
+            self.routing.forget(spark, batch_id - KEPT_RULES)
         table = self.routing.read_batch(spark, batch_id).drop("batch_id")
         changes = dims.kept_changes(dims.parse_changes(batch), self.database, with_dirty=True)
-        self.routed.write(dims.route(changes, table, self.match), batch_id)
+        # Few files per table whatever the number of tasks, and several tasks for a large one.
+        routed = dims.route(changes, table, self.match).hint("rebalance", "status", "sink_table")
+        self.routed.write(routed, batch_id)
         if (batch_id + 1) % self.compact_every == 0:
             self.compact(spark, batch_id)
 

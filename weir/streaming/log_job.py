@@ -73,6 +73,8 @@ class LogJob:
         """Gather the visits of all batches so far into one snapshot."""
         rows = self.visits.read_through(spark, batch_id).where("NOT known")
         self.visits.write_snapshot(rows.drop("batch_id"), batch_id)
+        # What the snapshot before this one covers; batches since then may still be repeated.
+        self.visits.forget(spark, batch_id - self.compact_every)
 
     def _batch_visits(self, logs: DataFrame, batch_id: int) -> DataFrame:
         """First visits of the batch's devices; ``known`` where an earlier batch set them."""

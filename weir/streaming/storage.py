@@ -84,6 +84,24 @@ class BatchTable:
         """Store ``df`` as standing for all batches up to ``batch_id``."""
         self._write(df, f"{self.root}/snapshots/batch_id={batch_id}")
 
+    def has(self, spark: SparkSession, batch_id: int) -> bool:
+        """Whether a batch was written to its end."""
+        mark = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/batches/batch_id={batch_id}/_SUCCESS")
+        return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+    def forget(self, spark: SparkSession, through: int) -> None:
+        """Remove batches and snapshots up to ``through`` but the newest snapshot among them.
+
+        For state that a snapshot covers, so that reads list a bounded number of directories.
+        """
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        old = self._complete(spark, "snapshots", through + 1)
+        gone = [("snapshots", n) for n in old[:-1]]
+        gone += [("batches", n) for n in self._complete(spark, "batches", through + 1)]
+        for kind, n in gone:
+            path = hadoop.Path(f"{self.root}/{kind}/batch_id={n}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def _write(self, df: DataFrame, path: str) -> None:
         df.write.mode("overwrite").partitionBy(*self.partitions).parquet(path)
 
