@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir.functions import dates
+from weir.sources import topics
+from weir.streaming.storage import written
 
 # Routing changes (seq, op, ts_ms, source_table, sink_table, sink_columns, sink_pk).
 RULE_CHANGES = (
@@ -30,15 +32,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(table: DataFrame, key: str) -> DataFrame:
-    """At least one partition per core, as a topic read by all cores would have.
-
-    A table of enough files or row groups is left as it is scanned.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, key)
-
-
 def _text(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string")
 
@@ -47,8 +40,15 @@ def _message(seq: Column, junk: Column, body: Column) -> Column:
     return F.when(junk, F.concat(F.lit("junk "), _text(seq))).otherwise(F.to_json(body))
 
 
-def topic_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """App logs, one per row of ``events``."""
+def _with_tombstones(topic: DataFrame, raw: bool) -> DataFrame:
+    """Every fiftieth message twice, the second time as a tombstone; the source drops these unless ``raw``."""
+    values = F.when(F.col("seq") % 50 == 0, F.array("value", F.lit(None))).otherwise(F.array("value"))
+    noisy = topic.select("seq", F.explode(values).alias("value"))
+    return noisy if raw else topics.messages(noisy)
+
+
+def topic_log(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFrame:
+    """App logs, one per row of ``events``, and some tombstones."""
     i, kind, ms = F.col("event_id"), F.col("event_type"), F.col("ms")
     even = i % 2 == 0
     shows = kind.isin("view", "purchase") | (kind.isin("signup", "error") & even)
@@ -77,10 +77,10 @@ def topic_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(acts, actions).alias("actions"),
         F.when(kind == "error", F.struct((i % 4000).alias("error_code"))).alias("err"),
     )
-    events = _spread(_table(spark, sf_dir, "events"), "event_id").select(
+    events = _table(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", dates.epoch_ms(F.col("ts")).alias("ms")
     )
-    return events.select(i.alias("seq"), _message(i, i % 97 == 0, body).alias("value"))
+    return _with_tombstones(events.select(i.alias("seq"), _message(i, i % 97 == 0, body).alias("value")), raw)
 
 
 def topic_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,8 +112,8 @@ def topic_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(i.alias("seq"), value.alias("value"))
 
 
-def topic_db(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change log of four tables: an insert per row, some updates, some deletes."""
+def topic_db(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFrame:
+    """Change log of four tables: an insert per row, some updates, some deletes, some tombstones."""
     tables = (
         # table, key, key's name in the record, name, further columns
         ("customer", "c_custkey", "c_custkey", "c_name", ("c_mktsegment", "c_acctbal")),
@@ -128,7 +128,7 @@ def topic_db(spark: SparkSession, sf_dir: str) -> DataFrame:
     union = topics[0]
     for topic in topics[1:]:
         union = union.unionByName(topic)
-    return union
+    return _with_tombstones(union, raw)
 
 
 def _changes(
@@ -223,6 +223,7 @@ def write_slices(topic: DataFrame, slices: int, path: str):
 
     Stands in for messages that keep arriving.
     """
+    topic = written(topic, "staged-topic")  # made once, however many slices
     top = topic.agg(F.max("seq")).first()[0]
     bounds = [top * n // slices for n in range(1, slices)] + [top]
     low = -1

@@ -15,6 +15,7 @@ from weir import fixtures
 from weir.functions import dates, records
 from weir.operators import dims, routing, split, visitors
 from weir.plans import dim_flow, log_flow
+from weir.sinks.tables import KEY
 from weir.sources import rules, topics
 from weir.streaming.dim_job import DimJob
 from weir.streaming.log_job import LogJob
@@ -326,15 +327,15 @@ def _run(topic: DataFrame, start: Callable[..., object]) -> None:
 
 def _log_job(spark: SparkSession, sf_dir: str) -> LogJob:
     job = LogJob(new_path(spark, "log-job"))
-    _run(fixtures.topic_log(spark, sf_dir), job.start)
+    _run(fixtures.topic_log(spark, sf_dir, raw=True), job.start)
     return job
 
 
-def _dim_job(spark: SparkSession, sf_dir: str) -> DimJob:
+def _dim_job(spark: SparkSession, sf_dir: str, **options) -> DimJob:
     job = DimJob(
-        new_path(spark, "dim-job"), lambda s: rules.from_change_feed(fixtures.routing_changes(s))
+        new_path(spark, "dim-job"), lambda s: rules.from_change_feed(fixtures.routing_changes(s)), **options
     )
-    _run(fixtures.topic_db(spark, sf_dir), job.start)
+    _run(fixtures.topic_db(spark, sf_dir, raw=True), job.start)
     return job
 
 
@@ -363,6 +364,25 @@ def stream_dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.latest_cells(_dim_job(spark, sf_dir).accepted(spark), arrival())
 
 
+def stream_dim_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog tables that the job makes and fills, a row per cell that is not NULL."""
+    path = new_path(spark, "dim-tables")
+    database = path.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{path}'")
+    job = _dim_job(spark, sf_dir, tables=database, compact_every=2)
+    job.publish(spark)
+    cells = None
+    for table in sorted(t.name for t in spark.catalog.listTables(database)):
+        properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{table}`").collect()}
+        data = spark.table(f"`{database}`.`{table}`")
+        pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in data.columns]
+        own = data.select(
+            F.lit(table).alias("sink_table"), F.col(properties[KEY]).alias("pk"), F.inline(F.array(*pairs))
+        ).where("value IS NOT NULL")
+        cells = own if cells is None else cells.unionByName(own)
+    return cells
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -395,5 +415,6 @@ QUERIES: dict[str, Query] = {
         stream_log_fanout,
         stream_dim_route,
         stream_dim_upsert,
+        stream_dim_tables,
     )
 }

@@ -265,4 +265,5 @@ FROM events""",
     sql["stream_log_fanout"] = sql["log_fanout"]
     sql["stream_dim_route"] = sql["dim_route"]
     sql["stream_dim_upsert"] = sql["dim_upsert"]
+    sql["stream_dim_tables"] = sql["dim_upsert"]
     return sql

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weir.operators import dims
 
-def create_statement(sink_table: str, columns: list[str], database: str) -> str:
+KEY = "weir.key"
+
+
+def create_statement(sink_table: str, columns: list[str], database: str, key: str) -> str:
     body = ", ".join(f"`{column}` STRING" for column in columns)
-    return f"CREATE TABLE IF NOT EXISTS `{database}`.`{sink_table}` ({body}) USING parquet"
+    made = f"CREATE TABLE IF NOT EXISTS `{database}`.`{sink_table}` ({body}) USING parquet"
+    return f"{made} TBLPROPERTIES ('{KEY}' = '{key}')"
 
 
 def create_tables(spark: SparkSession, targets: DataFrame, database: str = "default") -> list[str]:
@@ -17,9 +21,9 @@ def create_tables(spark: SparkSession, targets: DataFrame, database: str = "defa
     Rows come to the driver one after the other, as each needs a statement of its own. Gives the names of new tables.
     """
     made = []
-    for row in targets.select("sink_table", "table_columns").toLocalIterator():
+    for row in targets.select("sink_table", "table_columns", "table_pk").toLocalIterator():
         if not spark.catalog.tableExists(f"`{database}`.`{row.sink_table}`"):
-            spark.sql(create_statement(row.sink_table, row.table_columns, database))
+            spark.sql(create_statement(row.sink_table, row.table_columns, database, row.table_pk))
             made.append(row.sink_table)
     return sorted(made)
 

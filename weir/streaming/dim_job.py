@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from weir.operators import dims, routing
+from weir.sinks import tables
 from weir.streaming.storage import BatchTable, arrival
 
 # Batches whose routing tables are kept, for retries.
@@ -30,7 +31,12 @@ _ROUTING = (
 
 
 class DimJob:
-    """``load_rules`` gives all rule changes so far as ``(seq, rule)``; see ``weir.sources.rules``."""
+    """``load_rules`` gives all rule changes so far as ``(seq, rule)``; see ``weir.sources.rules``.
+
+    ``tables`` names the catalog database that holds the dimension tables: a new target gets its table in the
+    batch that sees its rule, and tables are brought up to date at each compaction. Without it, tables are
+    only resolved when read.
+    """
 
     def __init__(
         self,
@@ -39,8 +45,10 @@ class DimJob:
         match: str = "exact",
         database: str | None = None,
         compact_every: int = 100,
+        tables: str | None = None,
     ):
         self.root = root
+        self.tables = tables
         self.load_rules = load_rules
         self.match = match
         self.database = database
@@ -60,6 +68,9 @@ class DimJob:
         if not self.routing.has(spark, batch_id):
             self.routing.write(routing.routing_table(self.load_rules(spark)), batch_id)
             self.routing.forget(spark, batch_id - KEPT_RULES)
+        if self.tables:
+            targets = self.routing.read_batch(spark, batch_id).select("sink_table", "table_columns", "table_pk").distinct()
+            tables.create_tables(spark, targets, self.tables)
         table = self.routing.read_batch(spark, batch_id).drop("batch_id")
         changes = dims.kept_changes(dims.parse_changes(batch), self.database, with_dirty=True)
         # Few files per table whatever the number of tasks, and several tasks for a large one.
@@ -68,6 +79,12 @@ class DimJob:
         if (batch_id + 1) % self.compact_every == 0:
             self.compact(spark, batch_id)
 
+    def publish(self, spark: SparkSession) -> None:
+        """Bring the catalog tables up to date, one after the other."""
+        rows = self.accepted(spark)
+        for row in rows.select("sink_table").distinct().toLocalIterator():
+            tables.publish(spark, rows, row.sink_table, self.tables, arrival())
+
     def accepted(self, spark: SparkSession) -> DataFrame:
         """Rows for dimension tables, with ``batch_id`` and ``seq`` as their order."""
         rows = self.routed.read(spark).where(F.col("status") == dims.ACCEPTED)
@@ -99,3 +116,5 @@ class DimJob:
             "sink_table",
         )
         self.routed.write_snapshot(snapshot, batch_id)
+        if self.tables:
+            self.publish(spark)
