@@ -107,9 +107,11 @@ def test_batch_table_ignores_unfinished_writes(spark, tmp_path):
 
 def test_sources_and_sinks(spark, tmp_path, capfd):
     kafka = spark.createDataFrame(
-        [(bytearray(b"x"), 3, 7), (None, 3, 8), (bytearray(b"y"), 0, 7)], "value binary, partition int, offset bigint"
-    )
-    assert {tuple(r) for r in topics.from_kafka(kafka).collect()} == {((3 << 48) + 7, "x"), (7, "y")}
+        [(bytearray(b"x"), 3, 7, 5), (None, 3, 8, 6), (bytearray(b"y"), 0, 7, 9)],
+        "value binary, partition int, offset bigint, at bigint",
+    ).withColumn("timestamp", F.timestamp_millis("at"))
+    found = {tuple(r) for r in topics.from_kafka(kafka).collect()}
+    assert found == {(5 * 10**24 + 3 * 10**19 + 7, "x"), (9 * 10**24 + 7, "y")}
     out = log_flow.split_logs(messages(spark, [log(displays=[{"item": "1"}])]))
     assert topic_sinks.kafka_messages(out).columns == ["topic", "value"]
     topic_sinks.to_files(out, str(tmp_path / "out"))
@@ -174,3 +176,27 @@ def test_files_of_a_batch_stay_few(spark):
     job.process(batch, 0)
     files = job.routed.read(spark).inputFiles()
     assert len(files) < 20 and job.accepted(spark).count() == 4000
+
+
+def test_order_of_messages_over_partitions(spark):
+    """Partition and offset order contradict time: time counts, and first visits stay a hash aggregation."""
+    from weir.operators import routing, visitors
+
+    def arrived(*messages):
+        """``(ms, partition, offset, text)``"""
+        df = spark.createDataFrame(messages, "at bigint, partition int, offset bigint, text string")
+        kafka = df.select(F.timestamp_millis("at").alias("timestamp"), "partition", "offset", F.col("text").cast("binary").alias("value"))
+        return topics.from_kafka(kafka)
+
+    logs = visitors.parse_logs(arrived((3, 0, 1, log(ts=T + 2 * DAY)), (1, 2, 9, log(ts=T)), (2, 1, 5, log(ts=T + DAY))))
+    visits = visitors.first_visits(logs)
+    assert [(r.mid, str(r.first_date)) for r in visits.collect()] == [("m", "2020-06-14")]
+    plan = visits._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    feed = arrived((3, 0, 1, rule("t", "dim_c", "id,c")), (1, 2, 9, rule("t", "dim_a", "id,a")), (2, 1, 5, rule("t", "dim_b", "id,b")))
+    given = rules.from_change_feed(feed)
+    assert [r.sink_table for r in routing.active_rules(given).collect()] == ["dim_c"]
+    rows = arrived((3, 0, 1, change("t", id=1, c="new")), (1, 2, 9, change("t", id=1, c="old")), (2, 1, 5, change("t", id=1, c="mid")))
+    routed = dims.route(dims.kept_changes(dims.parse_changes(rows)), routing.routing_table(given))
+    cells = {r.column: r.value for r in dims.latest_cells(dims.accepted(routed)).collect()}
+    assert cells == {"id": "1", "c": "new"}

@@ -77,7 +77,9 @@ def topic_log(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFrame:
         F.when(acts, actions).alias("actions"),
         F.when(kind == "error", F.struct((i % 4000).alias("error_code"))).alias("err"),
     )
-    events = _table(spark, sf_dir, "events").select(
+    # As many partitions as a topic that all cores read, at every size.
+    events = _table(spark, sf_dir, "events").repartition(spark.sparkContext.defaultParallelism, "event_id")
+    events = events.select(
         "event_id", "user_id", "event_type", dates.epoch_ms(F.col("ts")).alias("ms")
     )
     return _with_tombstones(events.select(i.alias("seq"), _message(i, i % 97 == 0, body).alias("value")), raw)

@@ -348,16 +348,17 @@ def stream_first_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_is_new_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _log_job(spark, sf_dir).streams.read(spark)
     records_once = rows.where(F.col("topic").isin(split.PAGE, split.START))
-    return _messages(records_once).select("seq", "mid", "is_new")
+    return _messages(records_once).select(F.col("seq").cast("bigint").alias("seq"), "mid", "is_new")
 
 
 def stream_log_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _messages(_log_job(spark, sf_dir).streams.read(spark))
+    rows = _messages(_log_job(spark, sf_dir).streams.read(spark))
+    return rows.withColumn("seq", F.col("seq").cast("bigint"))
 
 
 def stream_dim_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _dim_job(spark, sf_dir).routed.read(spark).where(F.col("status") == dims.ACCEPTED)
-    return rows.select("seq", "source_table", "sink_table", "pk")
+    return rows.select(F.col("seq").cast("bigint").alias("seq"), "source_table", "sink_table", "pk")
 
 
 def stream_dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:

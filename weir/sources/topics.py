@@ -1,8 +1,8 @@
-"""Message topics as DataFrames of ``(seq BIGINT, value STRING)``.
+"""Message topics as DataFrames of ``(seq, value STRING)``.
 
-``seq`` is the arrival order and is unique. A file topic stores both columns. For Kafka it
-is built from partition and offset, so order holds per key as long as a key stays in one
-partition. Null messages (tombstones) are dropped. No watermark is set: nothing
+``seq`` is the arrival order and is unique. A file topic stores both columns, ``seq`` as BIGINT. For Kafka it
+is time, then partition, then offset in one DECIMAL(38,0), which Spark can aggregate by hash, so messages of one
+key are in order whatever partitions they went to, as far as their times are. Null messages (tombstones) are dropped. No watermark is set: nothing
 downstream uses event time.
 """
 
@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 TOPIC_SCHEMA = "seq BIGINT, value STRING"
 
-_OFFSET_BITS = 48
+SEQ = "DECIMAL(38,0)"
+
+# Digits of an offset and of a partition inside ``seq``.
+_OFFSET, _PARTITION = 19, 5
 
 
 def messages(df: DataFrame) -> DataFrame:
@@ -36,7 +39,11 @@ def stream_files(
 
 def from_kafka(df: DataFrame) -> DataFrame:
     """The Kafka source's columns to ``(seq, value)``."""
-    seq = F.shiftleft(F.col("partition").cast("bigint"), _OFFSET_BITS) + F.col("offset")
+    ms = F.greatest(F.unix_millis("timestamp"), F.lit(0)).cast("string")
+    partition = F.when(F.col("partition") < 10**_PARTITION, F.lpad(F.col("partition").cast("string"), _PARTITION, "0")).otherwise(
+        F.raise_error(F.lit("a topic may have 100,000 partitions"))
+    )
+    seq = F.concat(ms, partition, F.lpad(F.col("offset").cast("string"), _OFFSET, "0")).cast(SEQ)
     return messages(df.select(seq.alias("seq"), F.col("value").cast("string").alias("value")))
 
 

@@ -15,13 +15,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from weir.operators import dims, routing
 from weir.sinks import tables
+from weir.sources.topics import SEQ
 from weir.streaming.storage import BatchTable, arrival
 
 # Batches whose routing tables are kept, for retries.
 KEPT_RULES = 10
 
 _ROUTED = (
-    "seq BIGINT, source_table STRING, pk STRING, data MAP<STRING,STRING>, reason STRING, "
+    f"seq {SEQ}, source_table STRING, pk STRING, data MAP<STRING,STRING>, reason STRING, "
     "value STRING, status STRING, sink_table STRING"
 )
 _ROUTING = (
@@ -72,6 +73,7 @@ class DimJob:
             targets = self.routing.read_batch(spark, batch_id).select("sink_table", "table_columns", "table_pk").distinct()
             tables.create_tables(spark, targets, self.tables)
         table = self.routing.read_batch(spark, batch_id).drop("batch_id")
+        batch = batch.select(F.col("seq").cast(SEQ).alias("seq"), "value")
         changes = dims.kept_changes(dims.parse_changes(batch), self.database, with_dirty=True)
         # Few files per table whatever the number of tasks, and several tasks for a large one.
         routed = dims.route(changes, table, self.match).hint("rebalance", "status", "sink_table")
@@ -106,7 +108,7 @@ class DimJob:
         rows = dims.latest_maps(changes, arrival())
         nothing = F.lit(None).cast("string")
         snapshot = rows.select(
-            F.lit(-1).cast("bigint").alias("seq"),
+            F.lit(-1).cast(SEQ).alias("seq"),
             nothing.alias("source_table"),
             "pk",
             "data",

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from weir.functions import dates
 from weir.operators import split, visitors
+from weir.sources.topics import SEQ
 from weir.streaming.storage import BatchTable
 
 Sink = Callable[[DataFrame, int], None]
@@ -37,10 +38,10 @@ class LogJob:
         self.root = root
         self.zone = zone
         self.visits = BatchTable(
-            f"{root}/visits", "mid STRING, first_date DATE, first_seq BIGINT, known BOOLEAN", ("known",)
+            f"{root}/visits", f"mid STRING, first_date DATE, first_seq {SEQ}, known BOOLEAN", ("known",)
         )
         self.streams = BatchTable(
-            f"{root}/streams", "seq BIGINT, topic STRING, value STRING, reason STRING", ("topic",)
+            f"{root}/streams", f"seq {SEQ}, topic STRING, value STRING, reason STRING", ("topic",)
         )
         self.sink = sink or self.streams.write
         self.compact_every = compact_every
@@ -53,7 +54,7 @@ class LogJob:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
+        batch = batch.select(F.col("seq").cast(SEQ).alias("seq"), "value").persist()
         try:
             logs = visitors.parse_logs(batch)
             self.visits.write(self._batch_visits(logs, batch_id), batch_id)
