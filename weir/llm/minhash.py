@@ -23,6 +23,9 @@ from weir.llm.text_arrays import joined, lower_ascii, mixed, run_hashes, runs, s
 BINS = 128
 BAND = 4
 
+# Centres of a bucket in each round but the first.
+CENTRES = 4
+
 # Links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
 
@@ -162,19 +165,20 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = PERCENT) -> D
         now = members.withColumn("component", F.col("node"))
         if labels is not None:
             now = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        # The first centre is the smallest member, the same in most buckets of a group; later ones vary.
-        rank = F.col("node") if turn == 0 else F.xxhash64("bucket", "node", F.lit(turn))
+        # The first centre is the smallest member, the same in most buckets of a group; later ones vary, several at once.
+        ranks = [F.col("node")] if turn == 0 else [F.xxhash64("bucket", "node", F.lit(turn), F.lit(i)) for i in range(CENTRES)]
+        chosen = [F.struct(F.min_by("node", r).alias("centre"), F.min_by("component", r).alias("own")) for r in ranks]
         centres = (
             now.groupBy("bucket")
-            .agg(F.min_by("node", rank).alias("centre"), F.min("component").alias("low"), F.max("component").alias("high"),
-                 F.min_by("component", rank).alias("own"))
-            .where("low <> high").select("bucket", "centre", "own")
+            .agg(F.array_distinct(F.array(*chosen)).alias("chosen"), F.min("component").alias("low"), F.max("component").alias("high"))
+            .where("low <> high").select("bucket", "chosen")
         )
         # Buckets whose members are all linked are done with.
         members = sealed(now.join(centres, "bucket"), "minhash-open")
-        pairs = members.where("component <> own").select(
-            F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
-        ).distinct()
+        pairs = (
+            members.select("node", "component", F.inline("chosen")).where("component <> own")
+            .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+        )
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = sealed(pairs, "minhash-pairs")
