@@ -150,9 +150,9 @@ def _packed(docs: DataFrame, wanted: DataFrame, units: Units) -> DataFrame:
 
 
 def order_text() -> Column:
-    """A minimiser's place as a text that sorts like it: by id, then by place, then by digest."""
+    """A minimiser's place as a text that sorts like it: by id, then by place, then by 48 bits of the digest."""
     number = F.lpad(F.hex(F.col("did").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
-    return F.concat(number, F.lpad(F.hex((F.col("start") + F.col("off")).cast("bigint")), 8, "0"), F.hex("key"))
+    return F.concat(number, F.lpad(F.hex((F.col("start") + F.col("off")).cast("bigint")), 8, "0"), F.substring(F.hex("key"), 1, 12))
 
 
 Bucket = list[tuple[bytes, int, str, bytes, int, int]]  # pid, copies, first place, packed run, windows, off
