@@ -7,6 +7,7 @@ from hashlib import sha256
 import numpy as np
 import pytest
 
+from tests.llm.conftest import passage
 from weir.llm import minhash, substring_dedup, suffix_dedup
 from weir.llm.components import components
 from weir.llm.repeats import repeated, sliding_least
@@ -170,6 +171,17 @@ def test_chains_and_many_small_sets(spark):
     assert found == want
 
 
+def test_links_in_a_large_bucket(spark):
+    """600 texts around one template, 0.754 alike, and among them 40 pairs of 0.802 that must all be found."""
+    template, tail = passage(40, 89), lambda i: [f"eigen{i}n{k}" for k in range(14)]
+    tails = [tail(i) for i in range(600)]
+    for i in range(40):
+        tails[599 - i][:3] = tails[200 + i][:3]
+    docs = spark.createDataFrame([(i, f"{template} {' '.join(t)}") for i, t in enumerate(tails)], "doc_id BIGINT, text STRING")
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    assert found == {i: i for i in range(560)} | {599 - i: 200 + i for i in range(40)}
+
+
 def test_without_copies(docs):
     left = minhash.without_copies(docs, 4)
     ids = [r.doc_id for r in left.select("doc_id").collect()]

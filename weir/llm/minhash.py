@@ -4,11 +4,13 @@ One hash of each shingle gives both its bin and its value; a bin keeps its least
 borrows from another that its own sequence of probes finds. Bands of bins are buckets. In a bucket
 all members are paired with one centre, so pairs are as many as rows; a pair is a link when the
 full shingle sets are similar enough. Members that are not yet linked get other centres of their bucket
-in further rounds, until a round finds no new link.
+in further rounds, until a round finds no new link. What then still lies in a bucket with members of other
+components is joined on prefixes of its sets, which finds every link that is left.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from hashlib import md5
 
 import numpy as np
@@ -16,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import byte_texts, lists, map_batches, sealed
+from weir.llm.common import byte_texts, lists, map_batches, sealed, small_batches
 from weir.llm.components import components
 from weir.llm.text_arrays import joined, lower_ascii, mixed, run_hashes, runs, separator_table
 
@@ -29,6 +31,9 @@ CENTRES = 4
 # Links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
 
+# Counters that put rare shingles first. Shingles may share one: any order finds the same links, a good one sooner.
+SLOTS = 1 << 20
+
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -139,6 +144,64 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _slot_counts(sets: DataFrame) -> np.ndarray:
+    """In how many sets the shingles of each slot stand; every task adds up its sets first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            hashes = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            np.add.at(counts, (hashes % SLOTS).astype(np.int64), 1)
+        seen = np.flatnonzero(counts)
+        columns = [pa.array(seen, pa.int32()), pa.array(counts[seen])]
+        yield from pa.Table.from_arrays(columns, ["slot", "n"]).to_batches(1 << 16)
+
+    small_batches(sets.sparkSession)
+    summed = sets.select("shingles").mapInArrow(run, "slot INT, n BIGINT").groupBy("slot").agg(F.sum("n").alias("n"))
+    rows, counts = summed.toArrow(), np.zeros(SLOTS, np.int64)
+    counts[rows["slot"].to_numpy()] = rows["n"].to_numpy()
+    return counts
+
+
+def _prefixes(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """``(node, component, shingle, left, n)`` of the first shingles of each set, in one order for all sets, rare ones first.
+
+    ``left`` is how many of the set's ``n`` shingles stand from there on. Sets that are similar enough share one of these.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n = batch.column(2).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        hashes = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        row = np.repeat(np.arange(len(n)), n)
+        order = np.lexsort((hashes, shared.value[(hashes % SLOTS).astype(np.int64)], row))
+        left = np.repeat(np.cumsum(n), n) - np.arange(len(hashes))
+        # The common shingles are at least ``percent`` of either set, and the first of them has all others behind it.
+        first = left * 100 >= percent * n[row]
+        row, at = pa.array(row[first]), order[first]
+        columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(hashes[at].view(np.int64)), pa.array(left[first]), pa.array(n).take(row)]
+        return pa.RecordBatch.from_arrays(columns, ["node", "component", "shingle", "left", "n"])
+
+    schema = "node BIGINT, component BIGINT, shingle BIGINT, left BIGINT, n BIGINT"
+    return map_batches(sets.select("node", "component", "shingles"), run, schema)
+
+
+def _open_pairs(open_nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of ``(node, component)``: all of different components that can be similar enough, by prefixes."""
+    own = sealed(sets.join(open_nodes, "node").select("node", "component", "shingles"), "minhash-open-sets")
+    rows = sealed(_prefixes(own, _slot_counts(own), percent), "minhash-prefixes")
+    several = rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    rows = sealed(rows.join(sealed(several.select("shingle"), "minhash-shingles"), "shingle"), "minhash-open-prefixes")
+    # A pair's smaller set needs fewer shingles: with a set of its own size or a larger one it must have more in common.
+    few = rows.where(F.col("left") * (100 + percent) >= F.col("n") * (2 * percent))
+    x = rows.select("shingle", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("left").alias("lx"), F.col("n").alias("nx"))
+    y = few.select("shingle", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("left").alias("ly"), F.col("n").alias("ny"))
+    ordered = (F.col("ny") < F.col("nx")) | ((F.col("ny") == F.col("nx")) & (F.col("y") < F.col("x")))
+    able = F.least("lx", "ly") * (100 + percent) >= (F.col("nx") + F.col("ny")) * percent
+    pairs = x.hint("merge").join(y, "shingle").where((F.col("cx") != F.col("cy")) & ordered & able)
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row for every row of ``docs``.
 
@@ -147,7 +210,8 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = PERCENT) -> D
     takes no part: its component is NULL and it is kept. Other columns are not read.
 
     Similar sets meet in some bucket with certainty but for some ``(1 - s ** BAND) ** (BINS / BAND)``, below one in
-    ten million at a similarity of 0.8. There is no limit on the size of a bucket.
+    ten million at a similarity of 0.8. There is no limit on the size of a bucket, and no two of its members are left
+    apart that are similar.
     """
     found = sealed(sketch(docs, size), "minhash-sketch")
     nodes = sealed(
@@ -191,6 +255,12 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = PERCENT) -> D
         tried = pairs if tried is None else tried.unionByName(pairs)
         members = members.select("bucket", "node")
         turn += 1
+    open_nodes = sealed(members.select("node", "component").distinct(), "minhash-open-nodes")
+    if not open_nodes.isEmpty():
+        pairs = sealed(_open_pairs(open_nodes, sets, percent).join(tried, ["a", "b"], "left_anti"), "minhash-open-pairs")
+        fresh = sealed(_confirmed(pairs, sets, percent), "minhash-open-links")
+        if not fresh.isEmpty():
+            labels = components(fresh if links is None else links.unionByName(fresh))
     of_set = nodes.select("set_key", "node")
     if labels is not None:
         of_set = of_set.join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
