@@ -146,6 +146,21 @@ def test_clean_documents_stay(spark):
     assert kept[1] / total[1] > 0.99 and kept[0] / total[0] < 0.2
 
 
+def test_every_language_has_its_own_model(spark):
+    """Twenty languages; the smallest has trusted text of its own, unlike that of the others."""
+    rows = [(100 * k + i, f"l{k:02}", passage(100 * k + i, 60)) for k in range(19) for i in range(20)]
+    rows += [(5000 + i, "z", "quux vyk zzyx kwj " * 8) for i in range(3)]
+    rows += [(6000, None, passage(6000, 60)), (6001, "none", passage(6001, 60)), (6002, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, lang STRING, text STRING").repartition(4)
+    labels = spark.createDataFrame([(i, 1) for i, lang, _ in rows if lang not in (None, "none")], "doc_id BIGINT, quality INT")
+    found = {r.doc_id: r for r in quality.classify(docs, labels).collect()}
+    assert sorted(found) == sorted(i for i, _, _ in rows)
+    assert all(found[i].keep and found[i].perplexity < 3 for i in range(5000, 5003))
+    limits = {lang: {found[i].threshold for i, own, _ in rows if own == lang} for lang in {own for _, own, _ in rows}}
+    assert all(len(x) == 1 for x in limits.values()) and limits[None] == limits["none"]
+    assert limits["z"].isdisjoint(limits[None]) and max(limits["z"]) < 3.5
+
+
 def test_quality_rows(spark, docs, no_docs):
     labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(10, 45)] + [(12, None), (None, 1)], "doc_id BIGINT, quality INT")
     found = quality.classify(docs, labels)
