@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from weir.llm import (
+    alignment,
     decontam,
     minhash,
     neighbours,
     pieces,
+    prefix_trie,
     quality,
     secret_scan,
+    simhash,
     substring_dedup,
     suffix_dedup,
     token_counts,
@@ -62,6 +65,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.document_tokens(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 _OPERATORS = (
     op1_sentencepiece,
     op2_toxicity,
@@ -73,6 +88,9 @@ _OPERATORS = (
     op8_secret_scans,
     op9_quality_classifier,
     op10_token_counts,
+    op11_prefix_trie,
+    op12_simhash_near_dedup,
+    op13_tokenizer_alignment,
 )
 
 QUERIES = {f.__name__: f for f in _OPERATORS}
@@ -81,4 +99,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": substring_dedup.remove_repeated_sql(),
     "op4_decontamination": decontam.leaks_sql(),
     "op7_minhash_near_dedup": minhash.near_duplicates_sql(),
+    "op11_prefix_trie": prefix_trie.prefix_nodes_sql(),
 }
