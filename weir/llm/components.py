@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.common import sealed
 
 
+def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least member reachable from each of ``n`` members over links ``(i, j)``."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        low = np.minimum(label[i], label[j])
+        np.minimum.at(label, label[i], low)
+        np.minimum.at(label, label[j], low)
+        label = label[label]
+        if np.array_equal(label, before):
+            return label
+
+
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"))

@@ -3,14 +3,13 @@
 One hash of each shingle gives both its bin and its value; a bin keeps its least value, and an empty bin
 borrows from another that its own sequence of probes finds. Bands of bins are buckets. In a bucket
 all members are paired with one centre, so pairs are as many as rows; a pair is a link when the
-full shingle sets are similar enough. Members that are not yet linked get other centres of their bucket
-in further rounds, until a round finds no new link. What then still lies in a bucket with members of other
-components is joined on prefixes of its sets, which finds every link that is left.
+full shingle sets are similar enough. Members that are not yet linked get a few other centres of their bucket. A bucket
+that still has members of several components is compared as a whole, block against block, where the blocks' sets
+meet in one task that gives out no pairs, only a spanning forest of the components that it finds linked.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from hashlib import md5
 
 import numpy as np
@@ -19,20 +18,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.common import byte_texts, lists, map_batches, sealed, small_batches
-from weir.llm.components import components
+from weir.llm.components import components, forest
 from weir.llm.text_arrays import joined, lower_ascii, mixed, run_hashes, runs, separator_table
 
 BINS = 128
 BAND = 4
 
-# Centres of a bucket in each round but the first.
+# Centres of a bucket in the second round.
 CENTRES = 4
 
 # Links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
 
-# Counters that put rare shingles first. Shingles may share one: any order finds the same links, a good one sooner.
-SLOTS = 1 << 20
+# Sets, and shingles of sets, of a block; columns of shingles that are compared at once.
+BLOCK_SETS = 2048
+BLOCK_SHINGLES = 1 << 21
+COLUMNS = 2048
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -144,62 +145,94 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _slot_counts(sets: DataFrame) -> np.ndarray:
-    """In how many sets the shingles of each slot stand; every task adds up its sets first."""
+def _tested(pairs: DataFrame, sets: DataFrame, percent: int, links: DataFrame | None) -> DataFrame | None:
+    fresh = sealed(_confirmed(sealed(pairs, "minhash-pairs"), sets, percent), "minhash-links")
+    if fresh.isEmpty():
+        return links
+    return fresh if links is None else links.unionByName(fresh)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SLOTS, np.int64)
-        for batch in batches:
-            hashes = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            np.add.at(counts, (hashes % SLOTS).astype(np.int64), 1)
-        seen = np.flatnonzero(counts)
-        columns = [pa.array(seen, pa.int32()), pa.array(counts[seen])]
-        yield from pa.Table.from_arrays(columns, ["slot", "n"]).to_batches(1 << 16)
 
-    small_batches(sets.sparkSession)
-    summed = sets.select("shingles").mapInArrow(run, "slot INT, n BIGINT").groupBy("slot").agg(F.sum("n").alias("n"))
-    rows, counts = summed.toArrow(), np.zeros(SLOTS, np.int64)
-    counts[rows["slot"].to_numpy()] = rows["n"].to_numpy()
-    return counts
+def _labelled(members: DataFrame, links: DataFrame | None) -> DataFrame:
+    """``(bucket, node, component)`` of the buckets that have members of several components."""
+    if links is None:
+        rows = members.select("bucket", "node", F.col("node").alias("component"))
+    else:
+        label = components(links)
+        rows = members.select("bucket", "node").join(label, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    rows = sealed(rows, "minhash-labelled")
+    several = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    return sealed(rows.join(several.select("bucket"), "bucket"), "minhash-open")
 
 
-def _prefixes(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """``(node, component, shingle, left, n)`` of the first shingles of each set, in one order for all sets, rare ones first.
+def _star_pairs(members: DataFrame) -> DataFrame:
+    """Every member of an open bucket with :data:`CENTRES` members of it, but for those of its own component.
 
-    ``left`` is how many of the set's ``n`` shingles stand from there on. Sets that are similar enough share one of these.
+    Buckets of one group rank their members alike, so they mostly choose the same centres; a node's are gathered,
+    no more than its buckets times :data:`CENTRES`, before a row is made of each.
     """
-    shared = sets.sparkSession.sparkContext.broadcast(counts)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n = batch.column(2).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        hashes = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-        row = np.repeat(np.arange(len(n)), n)
-        order = np.lexsort((hashes, shared.value[(hashes % SLOTS).astype(np.int64)], row))
-        left = np.repeat(np.cumsum(n), n) - np.arange(len(hashes))
-        # The common shingles are at least ``percent`` of either set, and the first of them has all others behind it.
-        first = left * 100 >= percent * n[row]
-        row, at = pa.array(row[first]), order[first]
-        columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(hashes[at].view(np.int64)), pa.array(left[first]), pa.array(n).take(row)]
-        return pa.RecordBatch.from_arrays(columns, ["node", "component", "shingle", "left", "n"])
-
-    schema = "node BIGINT, component BIGINT, shingle BIGINT, left BIGINT, n BIGINT"
-    return map_batches(sets.select("node", "component", "shingles"), run, schema)
-
-
-def _open_pairs(open_nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` of ``(node, component)``: all of different components that can be similar enough, by prefixes."""
-    own = sealed(sets.join(open_nodes, "node").select("node", "component", "shingles"), "minhash-open-sets")
-    rows = sealed(_prefixes(own, _slot_counts(own), percent), "minhash-prefixes")
-    several = rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    rows = sealed(rows.join(sealed(several.select("shingle"), "minhash-shingles"), "shingle"), "minhash-open-prefixes")
-    # A pair's smaller set needs fewer shingles: with a set of its own size or a larger one it must have more in common.
-    few = rows.where(F.col("left") * (100 + percent) >= F.col("n") * (2 * percent))
-    x = rows.select("shingle", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("left").alias("lx"), F.col("n").alias("nx"))
-    y = few.select("shingle", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("left").alias("ly"), F.col("n").alias("ny"))
-    ordered = (F.col("ny") < F.col("nx")) | ((F.col("ny") == F.col("nx")) & (F.col("y") < F.col("x")))
-    able = F.least("lx", "ly") * (100 + percent) >= (F.col("nx") + F.col("ny")) * percent
-    pairs = x.hint("merge").join(y, "shingle").where((F.col("cx") != F.col("cy")) & ordered & able)
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    rank = [F.xxhash64("node", F.lit(i)) for i in range(CENTRES)]
+    chosen = [F.struct(F.min_by("node", r).alias("centre"), F.min_by("component", r).alias("own")) for r in rank]
+    centres = members.groupBy("bucket").agg(F.array_distinct(F.array(*chosen)).alias("chosen"))
+    others = F.filter("chosen", lambda c: c["own"] != F.col("component"))
+    each = members.join(centres, "bucket").select("node", others.alias("others")).where("size(others) > 0")
+    gathered = each.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_set("others"))).alias("others"))
+    pairs = gathered.select("node", F.explode("others.centre").alias("centre"))
+    return pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+
+
+def _block_edges(table: pa.Table, percent: int) -> pa.Table:
+    """``(a, b)`` of components that the sets of two blocks link: a spanning forest, fewer rows than components."""
+    names, label = np.unique(table["component"].to_numpy(), return_inverse=True)
+    block, low, high = table["block"].to_numpy(), table["i"][0].as_py(), table["j"][0].as_py()
+    shingles = table["shingles"].combine_chunks()
+    n = shingles.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    # Shingles that stand in one set alone are in no intersection.
+    _, column, held = np.unique(shingles.flatten().to_numpy(zero_copy_only=False), return_inverse=True, return_counts=True)
+    number = np.cumsum(held > 1) - 1
+    row = np.repeat(np.arange(len(n)), n)[held[column] > 1]
+    column = number[column[held[column] > 1]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    common = np.zeros((len(left), len(right)), np.float32)
+    place = np.full((2, len(n)), -1)
+    place[0, left], place[1, right] = np.arange(len(left)), np.arange(len(right))
+    for start in range(0, int(held.size and number[-1] + 1), COLUMNS):
+        part = slice(*np.searchsorted(column, [start, start + COLUMNS]))
+        sides = []
+        for k, size in enumerate((len(left), len(right))):
+            at = place[k, row[part]]
+            side = np.zeros((size, COLUMNS), np.float32)
+            side[at[at >= 0], column[part][at >= 0] - start] = 1
+            sides.append(side)
+        common += sides[0] @ sides[1].T
+    common = common.astype(np.int64)
+    near = common * 100 >= percent * (n[left][:, None] + n[right][None, :] - common)
+    x, y = np.nonzero(near & (label[left][:, None] != label[right][None, :]))
+    root = forest(len(names), label[left][x], label[right][y])
+    at = np.flatnonzero(root != np.arange(len(names)))
+    return pa.table({"a": pa.array(names[at], pa.int64()), "b": pa.array(names[root[at]], pa.int64())})
+
+
+def _open_edges(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges ``(a, b)`` between components of the open buckets ``(bucket, node, component)``: all that their members' links lead to.
+
+    A bucket's members are dealt into blocks of bounded size, and each two blocks are compared in one task with their
+    sets. Buckets with the same members are looked at once, and of two members, which the first star has paired, not at all.
+    """
+    weighed = members.join(sizes, "node")
+    lanes = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"lane{i}") for i in range(2)]
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks")
+    buckets = weighed.groupBy("bucket").agg(F.count("*").alias("n"), *lanes, blocks).where("n > 2")
+    once = sealed(buckets.groupBy("n", "lane0", "lane1").agg(F.min("bucket").alias("bucket"), F.max("blocks").alias("blocks")), "minhash-blocks")
+    dealt = members.join(once.select("bucket", "blocks"), "bucket").withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
+    met = dealt.select("bucket", "node", "component", "block", other).select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component", "block"
+    )
+    small_batches(members.sparkSession)
+    whole = met.join(sets, "node").groupBy("bucket", "i", "j")
+    return whole.applyInArrow(lambda table: _block_edges(table, percent), "a BIGINT, b BIGINT").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = PERCENT) -> DataFrame:
@@ -216,51 +249,26 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = PERCENT) -> D
     found = sealed(sketch(docs, size), "minhash-sketch")
     nodes = sealed(
         found.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
-        .groupBy("set_key").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands")),
+        .groupBy("set_key").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"), F.any_value("n_shingles").alias("n_shingles")),
         "minhash-nodes",
     )
     rows = nodes.select("node", F.explode_outer("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = sealed(rows.join(shared, "bucket"), "minhash-members")
     sets = sealed(_sets(docs, members.select("node").distinct(), size), "minhash-sets")
-    labels = links = tried = None
-    turn = 0
-    while True:
-        now = members.withColumn("component", F.col("node"))
-        if labels is not None:
-            now = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        # The first centre is the smallest member, the same in most buckets of a group; later ones vary, several at once.
-        ranks = [F.col("node")] if turn == 0 else [F.xxhash64("bucket", "node", F.lit(turn), F.lit(i)) for i in range(CENTRES)]
-        chosen = [F.struct(F.min_by("node", r).alias("centre"), F.min_by("component", r).alias("own")) for r in ranks]
-        centres = (
-            now.groupBy("bucket")
-            .agg(F.array_distinct(F.array(*chosen)).alias("chosen"), F.min("component").alias("low"), F.max("component").alias("high"))
-            .where("low <> high").select("bucket", "chosen")
-        )
-        # Buckets whose members are all linked are done with.
-        members = sealed(now.join(centres, "bucket"), "minhash-open")
-        pairs = (
-            members.select("node", "component", F.inline("chosen")).where("component <> own")
-            .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-        )
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = sealed(pairs, "minhash-pairs")
-        fresh = sealed(_confirmed(pairs, sets, percent), "minhash-links")
-        if not fresh.isEmpty():
-            links = fresh if links is None else links.unionByName(fresh)
-            labels = components(links)
-        elif turn:
-            break
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        members = members.select("bucket", "node")
-        turn += 1
-    open_nodes = sealed(members.select("node", "component").distinct(), "minhash-open-nodes")
-    if not open_nodes.isEmpty():
-        pairs = sealed(_open_pairs(open_nodes, sets, percent).join(tried, ["a", "b"], "left_anti"), "minhash-open-pairs")
-        fresh = sealed(_confirmed(pairs, sets, percent), "minhash-open-links")
-        if not fresh.isEmpty():
-            labels = components(fresh if links is None else links.unionByName(fresh))
+    # The smallest member is the centre of all buckets of a group in which it stands.
+    first = members.groupBy("bucket").agg(F.min("node").alias("centre"))
+    pairs = members.join(first, "bucket").where("node > centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    links = _tested(pairs, sets, percent, None)
+    members = _labelled(members, links)
+    if not members.isEmpty():
+        links = _tested(_star_pairs(members), sets, percent, links)
+        members = _labelled(members, links)
+    if not members.isEmpty():
+        edges = sealed(_open_edges(members, nodes.select("node", "n_shingles"), sets, percent), "minhash-open-links")
+        if not edges.isEmpty():
+            links = edges if links is None else links.unionByName(edges)
+    labels = None if links is None else components(links)
     of_set = nodes.select("set_key", "node")
     if labels is not None:
         of_set = of_set.join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from weir.llm.common import byte_texts, map_batches, sealed
-from weir.llm.components import components
+from weir.llm.components import components, forest
 
 SEED = 42
 
@@ -157,19 +157,6 @@ def neighbours(marks: np.ndarray, free: tuple[int, ...]) -> tuple[np.ndarray, np
     return np.concatenate(left), np.concatenate(right)
 
 
-def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The least member reachable from each of ``n`` members over links ``(i, j)``."""
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        low = np.minimum(label[i], label[j])
-        np.minimum.at(label, label[i], low)
-        np.minimum.at(label, label[j], low)
-        label = label[label]
-        if np.array_equal(label, before):
-            return label
-
-
 def _edges(marks: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
     at = np.flatnonzero(label != np.arange(len(label)))
     columns = [pa.array(marks[x].view(np.int64)) for x in (at, label[at])]
