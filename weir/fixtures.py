@@ -220,6 +220,27 @@ def routing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(k.alias("seq"), F.to_json(body).alias("value"))
 
 
+def routing_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routing changes, one per row of ``supplier``, that arrive all through :func:`topic_db`.
+
+    Targets, columns and keys of the four sources keep changing; some rules are invalid, some changes are deletes.
+    """
+    k = F.col("s_suppkey").cast("bigint")
+    source, key, name = F.col("names")[0], F.col("names")[1], F.col("names")[2]
+    sources = [("customer", "c_custkey", "c_name"), ("supplier", "s_suppkey", "s_name"), ("nation", "id", "n_name"), ("part", "p_partkey", "p_name")]
+    names = F.array(*[F.array(*[F.lit(x) for x in names]) for names in sources])
+    orders = F.array(F.concat(key, F.lit(","), name), F.concat(name, F.lit(","), key), key, F.concat(key, F.lit(", "), name), F.lit(None))
+    after = F.struct(
+        source.alias("source_table"),
+        F.concat(F.lit("dim_"), source, F.lit("_"), _text(F.floor(k / 4) % 3)).alias("sink_table"),
+        F.get(orders, (k % 5).cast("int")).alias("sink_columns"),
+        F.when(k % 3 == 0, None).when(k % 7 == 3, "nope").otherwise(key).alias("sink_pk"),
+    )
+    body = F.struct(F.when(k % 11 != 0, after).alias("after"), F.when(k % 11 == 0, "d").otherwise("u").alias("op"))
+    suppliers = _table(spark, sf_dir, "supplier").withColumn("names", F.get(names, (k % 4).cast("int")))
+    return suppliers.select((k * 180).alias("seq"), F.to_json(body).alias("value"))
+
+
 def write_slices(topic: DataFrame, slices: int, path: str):
     """Append ``topic`` to ``path`` in ``slices`` steps of rising ``seq``; yields after each.
 

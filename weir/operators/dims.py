@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.functions import records
+from weir.operators import routing
 
 # Change types that carry a row to keep.
 KEPT_TYPES = ("insert", "update", "bootstrap-insert")
@@ -76,8 +77,8 @@ def project(data: Column, match: str = "exact") -> Column:
     return F.map_filter(data, listed)
 
 
-def route(changes: DataFrame, routing: DataFrame, match: str = "exact") -> DataFrame:
-    """Match kept changes with the routing table; every change comes out with a ``status``.
+def route(changes: DataFrame, rules: DataFrame, match: str = "exact") -> DataFrame:
+    """Match kept changes with the rules in force (``routing.routing_table``); every change comes out with a ``status``.
 
     ``seq, source_table, sink_table, pk, data, status, reason, value``; ``value`` is the message,
     kept only where the row is not accepted. The routing table holds one row per source table;
@@ -85,6 +86,28 @@ def route(changes: DataFrame, routing: DataFrame, match: str = "exact") -> DataF
 
     Empty text is stored as NULL, and a row without its key is rejected.
     """
+    return _settled(changes.join(rules, "source_table", "left"), match)
+
+
+def route_as_of(changes: DataFrame, periods: DataFrame, match: str = "exact") -> DataFrame:
+    """:func:`route` by the rule that was in force when the change arrived; see ``routing.rule_periods``.
+
+    A change before the first rule of its table is unmatched. ``periods`` is a written table; Spark broadcasts it
+    when its size allows, else both sides meet on the source table and a range of ``seq``.
+    """
+    changes, periods = routing.binned(changes, periods)
+    periods = periods.withColumnRenamed("source_table", "of_table").withColumnRenamed("bin", "of_bin")
+    in_force = (
+        (F.col("source_table") == F.col("of_table"))
+        & (F.col("bin") == F.col("of_bin"))
+        & (F.col("seq") >= F.col("from_seq"))
+        & (F.col("to_seq").isNull() | (F.col("seq") < F.col("to_seq")))
+    )
+    return _settled(changes.join(periods, in_force, "left"), match)
+
+
+def _settled(joined: DataFrame, match: str) -> DataFrame:
+    """What becomes of changes that have their rule beside them, or NULLs."""
     unmatched = F.col("sink_table").isNull()
     listed = F.map_filter(project(F.col("data"), match), lambda k, _: k != RESERVED)
     stored = F.transform_values(listed, lambda _, x: F.nullif(x, F.lit("")))
@@ -103,8 +126,7 @@ def route(changes: DataFrame, routing: DataFrame, match: str = "exact") -> DataF
         .otherwise(REJECTED)
     )
     return (
-        changes.join(routing, "source_table", "left")
-        .withColumn("data", F.when(~unmatched, stored))
+        joined.withColumn("data", F.when(~unmatched, stored))
         .withColumn("pk", F.try_element_at("data", F.col("table_pk")))
         .withColumn("reason", reason)
         .withColumn("status", status)

@@ -7,7 +7,7 @@ force. Deletes change nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weir.sources.rules import RULE_FIELDS
@@ -82,3 +82,41 @@ def target_columns(rules: DataFrame) -> DataFrame:
 def routing_table(rules: DataFrame) -> DataFrame:
     """Active rules with the table each writes to: one row per source table."""
     return active_rules(rules).join(target_tables(rules), "sink_table")
+
+
+def rule_periods(rules: DataFrame) -> DataFrame:
+    """Which rule was in force when: the columns of :func:`routing_table` with ``from_seq`` and ``to_seq``.
+
+    A valid rule holds from its own place in the order of arrival up to the next valid rule of its source table, which has
+    no end for the last one (NULL). Of rules that arrive together one counts, as in :func:`active_rules`. Changes
+    and rules must be numbered alike, e.g. both by the time of their messages.
+    """
+    kept = ("sink_table", "sink_columns", "sink_pk", "sink_extend", "columns")
+    settled = valid_rules(rules).groupBy("source_table", "seq").agg(F.max(F.struct(*kept)).alias("rule"))
+    following = F.lead("seq").over(Window.partitionBy("source_table").orderBy("seq"))
+    periods = settled.select("source_table", F.col("seq").alias("from_seq"), following.alias("to_seq"), "rule.*")
+    return periods.join(target_tables(rules), "sink_table")
+
+
+def binned(changes: DataFrame, periods: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``bin``, for a join on ``(source_table, bin)`` instead of on the source table alone.
+
+    A source whose rules change often would make each of its changes look at all of its periods. Bins are ranges of equal
+    width between the first and the last rule, as many as there are rules for a source on average, so periods
+    get at most twice as many rows and a change meets about one. ``periods`` is read twice and should be a written table.
+    """
+    found = periods.agg(
+        F.min("from_seq").cast("double").alias("low"),
+        F.max("from_seq").cast("double").alias("high"),
+        F.ceil(F.count("*") / F.greatest(F.count_distinct("source_table"), F.lit(1))).alias("n"),
+    ).first()
+    bins, low, width = max(found["n"], 1), found["low"] or 0.0, ((found["high"] or 0.0) - (found["low"] or 0.0)) or 1.0
+
+    def place(seq):
+        # The same rising function on both sides, so rounding does no harm.
+        at = F.floor((seq.cast("double") - F.lit(low)) / F.lit(width) * F.lit(bins))
+        return F.least(F.greatest(at, F.lit(0)), F.lit(bins)).cast("int")
+
+    last = F.when(F.col("to_seq").isNull(), F.lit(bins)).otherwise(place(F.col("to_seq")))
+    spread = periods.withColumn("bin", F.explode(F.sequence(place(F.col("from_seq")), last)))
+    return changes.withColumn("bin", place(F.col("seq"))), spread

@@ -132,6 +132,12 @@ def dim_project_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("seq", "sink_table", _names(F.col("data")).alias("kept"), "status")
 
 
+def dim_route_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All changes by the rules that were in force when they arrived, while rules change all through the topic."""
+    rows = dim_flow.routed_as_of(fixtures.topic_db(spark, sf_dir), fixtures.routing_history(spark, sf_dir))
+    return rows.select("seq", "source_table", "sink_table", "pk", "status", "reason", _names(F.col("data")).alias("kept"))
+
+
 def dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last value of every cell of the dimension tables."""
     return dim_flow.dimension_cells(fixtures.topic_db(spark, sf_dir), fixtures.routing_changes(spark))
@@ -398,6 +404,7 @@ QUERIES: dict[str, Query] = {
         dim_rejects,
         dim_project_exact,
         dim_project_substring,
+        dim_route_as_of,
         dim_upsert,
         first_visit,
         is_new_repair,

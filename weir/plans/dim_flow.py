@@ -8,6 +8,7 @@ from weir.operators import dims, routing
 from weir.sources import rules
 from weir.streaming.storage import written
 
+
 def routed_changes(
     topic: DataFrame, rule_changes: DataFrame, match: str = "exact", with_dirty: bool = False
 ) -> DataFrame:
@@ -20,6 +21,15 @@ def routed_changes(
     return dims.route(changes, table, match)
 
 
+def routed_as_of(
+    topic: DataFrame, rule_changes: DataFrame, match: str = "exact", with_dirty: bool = False
+) -> DataFrame:
+    """The same for history that is replayed: each change by the rule in force when it arrived."""
+    changes = dims.kept_changes(dims.parse_changes(topic), with_dirty=with_dirty)
+    periods = written(routing.rule_periods(rules.from_change_feed(rule_changes)), "rule-periods")
+    return dims.route_as_of(changes, periods, match)
+
+
 def dimension_cells(topic: DataFrame, rule_changes: DataFrame) -> DataFrame:
     """What the dimension tables hold after all changes, a row per cell."""
     return dims.latest_cells(dims.accepted(routed_changes(topic, rule_changes)))

@@ -81,6 +81,39 @@ SELECT seq, source_table, sink_table, CAST(k AS VARCHAR) AS pk FROM changes WHER
 """
 )
 
+# Rules that change all through the change log, and the table that the first valid one of a target made.
+_HISTORY = (
+    _CHANGES
+    + """
+, history AS (
+  SELECT s_suppkey * 180 AS seq, s_suppkey AS n, CASE s_suppkey % 4 WHEN 0 THEN 'customer' WHEN 1 THEN 'supplier' WHEN 2 THEN 'nation' ELSE 'part' END AS source_table,
+         CASE s_suppkey % 4 WHEN 0 THEN 'c_custkey' WHEN 1 THEN 's_suppkey' WHEN 2 THEN 'id' ELSE 'p_partkey' END AS key,
+         CASE s_suppkey % 4 WHEN 0 THEN 'c_name' WHEN 1 THEN 's_name' WHEN 2 THEN 'n_name' ELSE 'p_name' END AS name
+  FROM supplier WHERE s_suppkey % 11 <> 0 AND s_suppkey % 5 <> 4
+), in_order AS (
+  SELECT seq, source_table, key, 'dim_' || source_table || '_' || (n // 4 % 3) AS sink_table,
+         CASE n % 5 WHEN 1 THEN [name, key] WHEN 2 THEN [key] ELSE [key, name] END AS columns
+  FROM history WHERE CASE WHEN n % 3 = 0 THEN key = 'id' ELSE n % 7 <> 3 END
+), made AS (
+  SELECT sink_table, arg_min(columns, seq) AS table_columns FROM in_order GROUP BY sink_table
+), named_ AS (
+  SELECT seq, source_table, k, CASE source_table WHEN 'customer' THEN ['c_custkey', 'c_name'] WHEN 'supplier' THEN ['s_name', 's_suppkey']
+                                  WHEN 'nation' THEN ['id', 'n_name'] ELSE ['p_name', 'p_partkey'] END AS fields
+  FROM changes
+), as_of AS (
+  SELECT c.seq, c.source_table, c.k, r.sink_table, m.table_columns, list_filter(c.fields, lambda x: list_contains(r.columns, x)) AS kept
+  FROM named_ c ASOF LEFT JOIN in_order r ON c.source_table = r.source_table AND c.seq >= r.seq
+  LEFT JOIN made m ON m.sink_table = r.sink_table
+)
+SELECT seq, source_table, sink_table, CASE WHEN sink_table IS NOT NULL THEN CAST(k AS VARCHAR) END AS pk,
+       CASE WHEN sink_table IS NULL THEN 'unmatched' WHEN len(list_filter(kept, lambda x: NOT list_contains(table_columns, x))) > 0 THEN 'rejected'
+            ELSE 'accepted' END AS status,
+       CASE WHEN len(list_filter(kept, lambda x: NOT list_contains(table_columns, x))) > 0 THEN 'unknown_column' END AS reason,
+       CASE WHEN sink_table IS NOT NULL THEN array_to_string(kept, ',') END AS kept
+FROM as_of
+"""
+)
+
 _DIM_UPSERT = (
     _CHANGES
     + """
@@ -214,6 +247,7 @@ SELECT seq, sink_table,
                          WHEN 'supplier' THEN 's_name,s_suppkey' ELSE 'id,n_name' END AS kept,
        CASE source_table WHEN 'supplier' THEN 'rejected' ELSE 'accepted' END AS status
 FROM changes WHERE sink_table IS NOT NULL""",
+        "dim_route_as_of": _HISTORY,
         "dim_upsert": _DIM_UPSERT,
         "first_visit": _LOGS + "SELECT mid, first_date FROM firsts",
         "is_new_repair": _LOGS + "SELECT seq, mid, is_new, flipped FROM logs",
