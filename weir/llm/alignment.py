@@ -9,16 +9,16 @@ bring its count back.
 
 from __future__ import annotations
 
+import json
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-import regex
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,15 +32,12 @@ PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 
 SPACE = "▁"
 
-# Units of text whose ids are remembered by a task, of each tokenizer.
-REMEMBERED = 1 << 18
-
-# Characters that texts are cut at in the same way by any version of Unicode; other texts are encoded whole.
+# Texts of these characters are cut into words alike by any version of Unicode.
 _SETTLED = re.compile("[\t\n\r\x20-\x7e¡-¬®-ɏ–—‘-”…]*")
 
 # Bytes of text that are aligned at once, and different id pairs of documents that a block holds before it is closed.
-PIECE = 1 << 21
-BLOCK = 1 << 21
+PIECE = 1 << 18
+BLOCK = 1 << 20
 BLOCK_DOCS = 1 << 16
 
 _DOC = "doc_id BIGINT, n_a BIGINT, n_b BIGINT, n_groups BIGINT, n_links BIGINT"
@@ -55,75 +52,59 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Cutter:
-    """One tokenizer: ids of texts, remembered by unit, and the bytes of each id.
+class ByteCutter:
+    """A byte-level tokenizer: ids of texts, and the bytes of each id.
 
-    Units are parts of a text that the tokenizer never merges across, so a text's ids are those of its units.
+    A vocabulary whose ids are in the order of its merges is also one of ranks, and a faster encoder of ranks gives the same ids for
+    texts that both cut alike.
     """
 
-    def __init__(self):
-        self.known: dict[str, bytes | None] = {}
-
-    def units(self, text: str) -> list[str]:
-        raise NotImplementedError
-
-    def ids(self, units: list[str]) -> list[list[int]]:
-        raise NotImplementedError
-
-    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
-        """Ids of texts that begin with a space; None where the ids' bytes are not those of the text."""
-        cut = [self.units(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, new = self.known, list(set().union(*cut) - self.known.keys())
-        for unit, ids in zip(new, self.ids(new), strict=True):
-            same = b"".join([self.parts[i] for i in ids]) == unit.encode()
-            known[unit] = array("i", ids).tobytes() if same else None
-        out = []
-        for units in cut:
-            packed = [known[u] for u in units]
-            out.append(None if None in packed else np.frombuffer(b"".join(packed), np.int32))
-        return out
-
-
-class ByteCutter(Cutter):
     def __init__(self, path: str):
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         letters, vocabulary = _byte_letters(), self.tokenizer.get_vocab(with_added_tokens=False)
         self.parts = [b""] * self.tokenizer.get_vocab_size()
         for piece, i in vocabulary.items():
             self.parts[i] = bytes([letters[x] for x in piece])
-        self.cut = regex.compile(CUT)
+        with open(path, encoding="utf-8") as file:  # the vocabulary is on every machine
+            merges = [m if isinstance(m, str) else " ".join(m) for m in json.load(file)["model"]["merges"]]
+        order = [vocabulary[m.replace(" ", "")] for m in merges]
+        ranks = {part: i for i, part in enumerate(self.parts) if part}
+        in_order = order == sorted(order) and len(ranks) == len(vocabulary)
+        self.ranks = tiktoken.Encoding("own", pat_str=CUT, mergeable_ranks=ranks, special_tokens={}) if in_order else None
 
-    def units(self, text: str) -> list[str]:
-        return self.cut.findall(text) if _SETTLED.fullmatch(text) else [text]
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        alike = [self.ranks is not None and bool(_SETTLED.fullmatch(t)) for t in texts]
+        other = [t for t, same in zip(texts, alike, strict=True) if not same]
+        whole = iter(self.tokenizer.encode_batch_fast(other, add_special_tokens=False))
+        return [self.ranks.encode_ordinary(t) if same else next(whole).ids for t, same in zip(texts, alike, strict=True)]
 
-    def ids(self, units: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
+class PieceCutter:
+    """A tokenizer of pieces that puts a space in front of each text."""
 
-class PieceCutter(Cutter):
     def __init__(self, path: str):
-        super().__init__()
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [model.id_to_piece(i) for i in range(model.vocab_size())]
         self.parts = [
             bytes([int(p[3:-1], 16)]) if model.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)
         ]
-        # Whether no piece goes on over the beginning of a run of spaces.
-        self.words = not any(SPACE in p.lstrip(SPACE) for p in pieces)
 
-    def units(self, text: str) -> list[str]:
-        return re.findall(" +[^ ]*", text) if self.words else [text]
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return self.model.encode([t[1:] for t in texts], num_threads=1)
+
 
-    def ids(self, units: list[str]) -> list[list[int]]:
-        return self.model.encode([u[1:] for u in units], num_threads=1)  # the model puts a space in front
+def encode(cutter: ByteCutter | PieceCutter, texts: list[str]) -> list[np.ndarray | None]:
+    """Ids of texts that begin with a space; None where the ids' bytes are not those of the text."""
+    parts = cutter.parts
+    return [
+        np.array(ids, np.int32) if b"".join([parts[i] for i in ids]) == text.encode() else None
+        for text, ids in zip(texts, cutter.ids(texts), strict=True)
+    ]
 
 
 @lru_cache(maxsize=2)
-def cutters(a_path: str, b_path: str) -> tuple[Cutter, Cutter, np.ndarray, np.ndarray, list[str]]:
+def cutters(a_path: str, b_path: str) -> tuple[ByteCutter, PieceCutter, np.ndarray, np.ndarray, list[str]]:
     """Both tokenizers, the bytes of their ids, and every id as text before each of the three separators."""
     a, b = ByteCutter(a_path), PieceCutter(b_path)
     sizes = [np.array([len(p) for p in cutter.parts], np.int64) for cutter in (a, b)]
@@ -140,7 +121,7 @@ def align(texts: list[str | None], a_path: str = BYTE_BPE, b_path: str = PIECE_B
     out: list[tuple] = [(0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.uint32))] * len(texts)
     at = [i for i, t in enumerate(texts) if t]
     spaced = [" " + texts[i] for i in at]
-    both = [(i, x, y) for i, x, y in zip(at, a.encode(spaced), b.encode(spaced), strict=True) if x is not None and y is not None]
+    both = [(i, x, y) for i, x, y in zip(at, encode(a, spaced), encode(b, spaced), strict=True) if x is not None and y is not None]
     if not both:
         return out
     where, ids_a, ids_b = zip(*both, strict=True)
