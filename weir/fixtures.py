@@ -241,17 +241,17 @@ def routing_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suppliers.select((k * 180).alias("seq"), F.to_json(body).alias("value"))
 
 
-def write_slices(topic: DataFrame, slices: int, path: str):
+def write_slices(topic: DataFrame, slices: int, path: str, *others: tuple[DataFrame, str]):
     """Append ``topic`` to ``path`` in ``slices`` steps of rising ``seq``; yields after each.
 
-    Stands in for messages that keep arriving.
+    Stands in for messages that keep arriving. ``others``, each with its path, arrive along with it, cut at the same places.
     """
-    topic = written(topic, "staged-topic")  # made once, however many slices
-    top = topic.agg(F.max("seq")).first()[0]
+    staged = [(written(df, "staged-topic"), at) for df, at in ((topic, path), *others)]  # made once, however many slices
+    top = staged[0][0].agg(F.max("seq")).first()[0]
     bounds = [top * n // slices for n in range(1, slices)] + [top]
     low = -1
     for high in bounds:
-        topic.where((F.col("seq") > low) & (F.col("seq") <= high)).write.mode("append").parquet(path)
+        for df, at in staged:
+            df.where((F.col("seq") > low) & (F.col("seq") <= high)).write.mode("append").parquet(at)
         yield path
         low = high
-

@@ -5,7 +5,7 @@ MAP<STRING, VARIANT> while keys are added or removed, so unknown keys survive.
 Nothing here raises on bad data: every function gives NULL instead.
 
 Numbers keep the characters they came with. A VARIANT or a JSON reader would write ``100.00`` or ``1e3`` its own
-way, so :func:`marked` turns numbers into marked texts before anything is parsed, and
+way, so :func:`marked` turns the numbers of a text that has such ones into marked texts before anything is parsed, and
 :func:`unmarked` takes the marks off when text is written. The mark is U+FFFF, which no text may hold;
 messages that hold it are not accepted as JSON.
 """
@@ -31,10 +31,17 @@ _NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?"
 _NEXT_NUMBER = rf'\G((?:[^"0-9-]++|{_STRING})*+)({_NUMBER})(?=[\s,}}\]]|$)'
 
 
+# What a text holds if some number in it may be written in another way by a reader: a fraction, an exponent, a minus zero,
+# more digits than a BIGINT surely has.
+_UNSETTLED = "[0-9][.eE]|[0-9]{18}|-0"
+
+
 def marked(text: Column | str) -> Column:
-    """JSON text with its numbers as marked strings. Text that is not JSON does not become JSON by it."""
+    """JSON text with its numbers as marked strings, where any of them needs it. Text that is not JSON does not become JSON by it."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.when(~text.rlike("\uffff|\\\\u[fF]{4}"), F.regexp_replace(text, _NEXT_NUMBER, f'$1"{MARK}$2"'))
+    holds_mark = text.contains(MARK) | (text.contains("\\u") & text.rlike("\\\\u[fF]{4}"))
+    numbers = F.when(text.rlike(_UNSETTLED), F.regexp_replace(text, _NEXT_NUMBER, f'$1"{MARK}$2"')).otherwise(text)
+    return F.when(~holds_mark, numbers)
 
 
 def unmarked(text: Column | str) -> Column:

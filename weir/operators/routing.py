@@ -14,6 +14,9 @@ from weir.sources.rules import RULE_FIELDS
 
 DEFAULT_KEY = "id"
 
+# Before every message; a snapshot has the same place.
+_BEGINNING = -1
+
 # Fixed value: names a table or column can have without quoting.
 _NAME = "^[A-Za-z][A-Za-z0-9_]*$"
 
@@ -84,18 +87,35 @@ def routing_table(rules: DataFrame) -> DataFrame:
     return active_rules(rules).join(target_tables(rules), "sink_table")
 
 
-def rule_periods(rules: DataFrame) -> DataFrame:
+def lasting_rules(rules: DataFrame) -> DataFrame:
+    """The rules, as ``(seq, rule)``, that say as much as all of them: the last valid one of each source table and the one
+    that made each target table.
+    """
+    kept = (*RULE_FIELDS, "columns")
+    valid = valid_rules(rules)
+    last = valid.groupBy("source_table").agg(F.max_by(F.struct("seq", *RULE_FIELDS), F.struct("seq", *kept[1:])).alias("r")).select("r.*")
+    first_of = F.struct("seq", "source_table", "columns", "sink_pk")
+    first = valid.groupBy("sink_table").agg(F.min_by(F.struct("seq", *RULE_FIELDS), first_of).alias("r")).select("r.*")
+    return last.unionByName(first).distinct().select("seq", F.struct(*RULE_FIELDS).alias("rule"))
+
+
+def rule_periods(rules: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Which rule was in force when: the columns of :func:`routing_table` with ``from_seq`` and ``to_seq``.
 
     A valid rule holds from its own place in the order of arrival up to the next valid rule of its source table, which has
     no end for the last one (NULL). Of rules that arrive together one counts, as in :func:`active_rules`. Changes
-    and rules must be numbered alike, e.g. both by the time of their messages.
+    and rules must be numbered alike, e.g. both by the time of their messages. ``known`` are rules that were settled before,
+    see :func:`lasting_rules`: the last of each source holds from the beginning.
     """
     kept = ("sink_table", "sink_columns", "sink_pk", "sink_extend", "columns")
-    settled = valid_rules(rules).groupBy("source_table", "seq").agg(F.max(F.struct(*kept)).alias("rule"))
+    settled = valid_rules(rules).groupBy("source_table", "seq").agg(F.max(F.struct(*kept)).alias("rule")).select("source_table", "seq", "rule.*")
+    every = rules
+    if known is not None:
+        before = active_rules(known).withColumn("seq", F.lit(_BEGINNING).cast(rules.schema["seq"].dataType))
+        settled, every = settled.unionByName(before), known.unionByName(rules)
     following = F.lead("seq").over(Window.partitionBy("source_table").orderBy("seq"))
-    periods = settled.select("source_table", F.col("seq").alias("from_seq"), following.alias("to_seq"), "rule.*")
-    return periods.join(target_tables(rules), "sink_table")
+    periods = settled.withColumn("to_seq", following).withColumnRenamed("seq", "from_seq")
+    return periods.join(target_tables(every), "sink_table")
 
 
 def binned(changes: DataFrame, periods: DataFrame) -> tuple[DataFrame, DataFrame]:

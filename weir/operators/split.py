@@ -78,7 +78,9 @@ def cut(logs: DataFrame) -> DataFrame:
 
 
 def fan_out(pieces: DataFrame, topics: Iterable[str] = TOPICS) -> DataFrame:
-    """Cut and repaired records to ``(seq, topic, value, reason)``; only ``topics`` are built.
+    """Cut and repaired records to ``(seq, topic, position, value, reason)``; only ``topics`` are built.
+
+    ``position`` counts the messages of a record on one topic from 0, so ``seq``, ``topic`` and ``position`` name a message.
 
     * error: the whole record, when ``err`` is present
     * start: the record without ``err``, when ``start`` is present
@@ -115,10 +117,11 @@ def fan_out(pieces: DataFrame, topics: Iterable[str] = TOPICS) -> DataFrame:
     return (
         repaired.withColumn("shared", F.when(is_page, shared))
         .select("seq", "reason", "ts", "shared", F.inline(F.array(*routes)))
-        .select("*", F.explode("bodies").alias("body"))
+        .select("*", F.posexplode("bodies").alias("position", "body"))
         .select(
             "seq",
             "topic",
+            "position",
             F.when(F.col("topic").isin(DISPLAY, ACTION), item).otherwise(F.col("body")).alias("value"),
             F.when(F.col("topic") == DIRTY, F.col("reason")).alias("reason"),
         )

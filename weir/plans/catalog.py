@@ -15,7 +15,8 @@ from weir import fixtures
 from weir.functions import dates, records
 from weir.operators import dims, routing, split, visitors
 from weir.plans import dim_flow, log_flow
-from weir.sinks.tables import KEY
+from weir.sinks import topics as topic_sinks
+from weir.sinks.tables import BUCKET, KEY
 from weir.sources import rules, topics
 from weir.streaming.dim_job import DimJob
 from weir.streaming.log_job import LogJob
@@ -363,26 +364,65 @@ def stream_log_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dim_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _dim_job(spark, sf_dir).routed.read(spark).where(F.col("status") == dims.ACCEPTED)
+    rows = _dim_job(spark, sf_dir).routed.read_parts(spark)
     return rows.select(F.col("seq").cast("bigint").alias("seq"), "source_table", "sink_table", "pk")
 
 
+def stream_log_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of a batch that was sent twice, read by their ids: each comes once."""
+    path = new_path(spark, "sent")
+    # Stands in for a Kafka topic: every write adds messages, also those of a repeated batch.
+    job = LogJob(new_path(spark, "log-job"), sink=lambda rows, _: topic_sinks.kafka_messages(rows).write.mode("append").parquet(path))
+    batch = fixtures.topic_log(spark, sf_dir)
+    for _ in range(2):
+        job.process(batch, 0)
+    sent = spark.read.parquet(path).select(
+        "topic", F.col("value").cast("binary").alias("value"), "headers", F.lit(0).alias("partition"),
+        F.monotonically_increasing_id().alias("offset"), F.timestamp_millis(F.lit(0)).alias("timestamp"),
+    )
+    rows = topics.from_kafka_once(sent).withColumn("seq", F.split("id", "/")[0].cast("bigint"))
+    return _messages(rows.withColumn("reason", F.lit(None).cast("string"))).drop("reason")
+
+
+def _live_job(spark: SparkSession, sf_dir: str, **options) -> DimJob:
+    """Changes and rules as two sources of one query; rules keep changing between its restarts and within its batches."""
+    job = DimJob(new_path(spark, "dim-job"), **options)
+    path, feed = new_path(spark, "topic"), new_path(spark, "rules")
+    for _ in fixtures.write_slices(fixtures.topic_db(spark, sf_dir, raw=True), SLICES, path, (fixtures.routing_history(spark, sf_dir), feed)):
+        job.start(topics.stream_files(spark, path), topics.stream_files(spark, feed), availableNow=True).awaitTermination()
+    return job
+
+
+def stream_dim_route_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted and other changes by the rules in force when they arrived, rules being a source of the query."""
+    job = _live_job(spark, sf_dir, as_of=True)
+    accepted = job.routed.read_parts(spark).withColumns({"status": F.lit(dims.ACCEPTED), "reason": F.lit(None).cast("string")})
+    kept = ("seq", "source_table", "sink_table", "status", "reason")
+    others = job.rejected.read(spark).where(F.col("status") != dims.DIRTY).select(*kept)
+    return accepted.select(*kept).unionByName(others).withColumn("seq", F.col("seq").cast("bigint"))
+
+
+def stream_dim_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of changes, counted while the batches were written."""
+    counts = _dim_job(spark, sf_dir).counts.read(spark).groupBy("status", "reason").agg(F.sum("n").alias("n"))
+    return counts.where("n > 0")
+
+
 def stream_dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.latest_cells(_dim_job(spark, sf_dir).accepted(spark), arrival())
 
 
 def stream_dim_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalog tables that the job makes and fills, a row per cell that is not NULL."""
+    """The catalog tables that the job makes and keeps up to date batch by batch, a row per cell that is not NULL."""
     path = new_path(spark, "dim-tables")
     database = path.rsplit("/", 1)[1].replace("-", "_")
     spark.sql(f"CREATE DATABASE `{database}` LOCATION '{path}'")
-    job = _dim_job(spark, sf_dir, tables=database, compact_every=2)
-    job.publish(spark)
+    _dim_job(spark, sf_dir, tables=database, compact_every=2)
     cells = None
     for table in sorted(t.name for t in spark.catalog.listTables(database)):
         properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{table}`").collect()}
         data = spark.table(f"`{database}`.`{table}`")
-        pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in data.columns]
+        pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in data.columns if c != BUCKET]
         own = data.select(
             F.lit(table).alias("sink_table"), F.col(properties[KEY]).alias("pk"), F.inline(F.array(*pairs))
         ).where("value IS NOT NULL")
@@ -421,7 +461,10 @@ QUERIES: dict[str, Query] = {
         stream_first_visit,
         stream_is_new_repair,
         stream_log_fanout,
+        stream_log_once,
         stream_dim_route,
+        stream_dim_route_live,
+        stream_dim_counts,
         stream_dim_upsert,
         stream_dim_tables,
     )

@@ -297,7 +297,13 @@ FROM events""",
     sql["stream_first_visit"] = sql["first_visit"]
     sql["stream_is_new_repair"] = _LOGS + "SELECT seq, mid, is_new FROM logs"
     sql["stream_log_fanout"] = sql["log_fanout"]
+    sql["stream_log_once"] = f"SELECT seq, topic, mid, is_new, page_id, ts, position, action_id FROM ({_FANOUT})"
     sql["stream_dim_route"] = sql["dim_route"]
+    sql["stream_dim_route_live"] = f"SELECT seq, source_table, sink_table, status, reason FROM ({_HISTORY})"
+    sql["stream_dim_counts"] = _CHANGES + """
+SELECT CASE WHEN seq % 101 = 0 THEN 'dirty' WHEN sink_table IS NULL THEN 'unmatched' ELSE 'accepted' END AS status,
+       CASE WHEN seq % 101 = 0 THEN 'not_json' END AS reason, count(*) AS n
+FROM messages WHERE seq % 101 = 0 OR version < 2 GROUP BY 1, 2"""
     sql["stream_dim_upsert"] = sql["dim_upsert"]
     sql["stream_dim_tables"] = sql["dim_upsert"]
     return sql

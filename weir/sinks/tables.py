@@ -1,18 +1,24 @@
-"""Dimension tables in the catalog: one per sink table, every column text."""
+"""Dimension tables in the catalog: one per sink table, every column text, in partitions by a bucket of the key."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from weir.operators import dims
 
 KEY = "weir.key"
 
+# Partition column; no column of a rule can have this name.
+BUCKET = "_bucket"
+
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def create_statement(sink_table: str, columns: list[str], database: str, key: str) -> str:
     body = ", ".join(f"`{column}` STRING" for column in columns)
-    made = f"CREATE TABLE IF NOT EXISTS `{database}`.`{sink_table}` ({body}) USING parquet"
-    return f"{made} TBLPROPERTIES ('{KEY}' = '{key}')"
+    made = f"CREATE TABLE IF NOT EXISTS `{database}`.`{sink_table}` ({body}, {BUCKET} INT) USING parquet"
+    return f"{made} PARTITIONED BY ({BUCKET}) TBLPROPERTIES ('{KEY}' = '{key}')"
 
 
 def create_tables(spark: SparkSession, targets: DataFrame, database: str = "default") -> list[str]:
@@ -29,14 +35,19 @@ def create_tables(spark: SparkSession, targets: DataFrame, database: str = "defa
 
 
 def publish(
-    spark: SparkSession, rows: DataFrame, sink_table: str, database: str = "default", order="seq"
+    spark: SparkSession, rows: DataFrame, sink_table: str, bucket: Column, database: str = "default", order="seq"
 ) -> None:
-    """Replace the content of one table by the rows it should hold now.
+    """Replace the buckets of one table that ``rows`` touch by what they should hold now; other buckets stay.
 
-    ``rows`` are accepted changes ``(sink_table, pk, data, ...)``; only this table's are read.
+    ``rows`` are all accepted changes ``(sink_table, pk, data, ...)`` of these buckets; ``bucket`` gives a row's from its key.
     """
     name = f"`{database}`.`{sink_table}`"
-    columns = spark.table(name).columns
-    mine = rows.where(rows["sink_table"] == sink_table)
-    latest = dims.latest_rows(mine, columns, order)
-    latest.select(*columns).write.mode("overwrite").insertInto(name)
+    columns = [c for c in spark.table(name).columns if c != BUCKET]
+    latest = dims.latest_rows(rows.where(F.col("sink_table") == sink_table), columns, order)
+    latest = latest.select(*columns, bucket.alias(BUCKET)).hint("rebalance", BUCKET)
+    before = spark.conf.get(_OVERWRITE)
+    spark.conf.set(_OVERWRITE, "dynamic")
+    try:
+        latest.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(_OVERWRITE, before)

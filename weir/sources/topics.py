@@ -15,13 +15,16 @@ TOPIC_SCHEMA = "seq BIGINT, value STRING"
 
 SEQ = "DECIMAL(38,0)"
 
+# Header that names a message; see ``weir.sinks.topics``.
+ID_HEADER = "weir-id"
+
 # Digits of an offset and of a partition inside ``seq``.
 _OFFSET, _PARTITION = 19, 5
 
 
-def messages(df: DataFrame) -> DataFrame:
+def messages(df: DataFrame, *more: str) -> DataFrame:
     """Keep ``(seq, value)`` and drop tombstones."""
-    return df.select("seq", "value").where("value IS NOT NULL")
+    return df.select("seq", "value", *more).where("value IS NOT NULL")
 
 
 def read_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -37,14 +40,32 @@ def stream_files(
     return messages(reader.load(path))
 
 
-def from_kafka(df: DataFrame) -> DataFrame:
-    """The Kafka source's columns to ``(seq, value)``."""
+def from_kafka(df: DataFrame, *more: str) -> DataFrame:
+    """The Kafka source's columns to ``(seq, value)``, and ``more`` of its columns."""
     ms = F.greatest(F.unix_millis("timestamp"), F.lit(0)).cast("string")
     partition = F.when(F.col("partition") < 10**_PARTITION, F.lpad(F.col("partition").cast("string"), _PARTITION, "0")).otherwise(
         F.raise_error(F.lit("a topic may have 100,000 partitions"))
     )
     seq = F.concat(ms, partition, F.lpad(F.col("offset").cast("string"), _OFFSET, "0")).cast(SEQ)
-    return messages(df.select(seq.alias("seq"), F.col("value").cast("string").alias("value")))
+    return messages(df.select(seq.alias("seq"), F.col("value").cast("string").alias("value"), *more), *more)
+
+
+def from_kafka_once(df: DataFrame, within: str = "1 hour") -> DataFrame:
+    """``(id, topic, seq, value)``: the Kafka source's columns with headers, a message that was sent again left out.
+
+    Messages without an id are all kept. A stream remembers ids for as long as ``within``, counted from the newest message
+    seen, so what it keeps does not grow with its age: set it longer than a batch is ever repeated after. Read with
+    ``includeHeaders=true``.
+    """
+    own = F.filter("headers", lambda h: h["key"] == ID_HEADER)
+    place = F.concat_ws("/", F.lit(""), "topic", "partition", "offset")
+    named = df.withColumn("id", F.coalesce(F.get(own, 0)["value"].cast("string"), place))
+    if df.isStreaming:
+        once = named.withWatermark("timestamp", within).dropDuplicatesWithinWatermark(["id"])
+    else:
+        once = named.dropDuplicates(["id"])
+    seen = from_kafka(once, "id", "topic")
+    return seen.select("id", "topic", "seq", "value")
 
 
 def kafka_options(servers: str, topic: str, group: str | None = None) -> dict[str, str]:

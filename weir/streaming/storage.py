@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,18 +95,29 @@ class BatchTable:
 
         For state that a snapshot covers, so that reads list a bounded number of directories.
         """
-        hadoop = spark._jvm.org.apache.hadoop.fs
         old = self._complete(spark, "snapshots", through + 1)
         gone = [("snapshots", n) for n in old[:-1]]
         gone += [("batches", n) for n in self._complete(spark, "batches", through + 1)]
         for kind, n in gone:
-            path = hadoop.Path(f"{self.root}/{kind}/batch_id={n}")
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(spark, f"{kind}/batch_id={n}")
+
+    def read_last(self, spark: SparkSession, before: int) -> DataFrame:
+        """The rows of the last batch below ``before``, for tables of which each batch stands for all before it."""
+        return self._read(spark, f"{self.root}/batches", self._complete(spark, "batches", before)[-1:])
+
+    def forget_all_but_last(self, spark: SparkSession, through: int) -> None:
+        """Remove batches up to ``through`` but the last of them; for the same tables."""
+        for n in self._complete(spark, "batches", through + 1)[:-1]:
+            self._delete(spark, f"batches/batch_id={n}")
+
+    def _delete(self, spark: SparkSession, below: str) -> None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{below}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def _write(self, df: DataFrame, path: str) -> None:
         df.write.mode("overwrite").partitionBy(*self.partitions).parquet(path)
 
-    def _read(self, spark: SparkSession, base: str, batch_ids: list[int]) -> DataFrame:
+    def _read(self, spark: SparkSession, base: str, batch_ids: list[int] | list[str]) -> DataFrame:
         if not batch_ids:
             empty = StructType.fromDDL(self.schema)
             return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in empty])
@@ -121,6 +133,89 @@ class BatchTable:
         return sorted(n for n in numbers if before is None or n < before)
 
 
+class KeyedTable(BatchTable):
+    """State of which a micro-batch reads and rewrites only the parts it touches.
+
+    Rows lie in a directory for each value of ``keys`` (a table, a bucket of a hash). ``parts`` are these directories' paths below
+    a batch, such as ``sink_table=x/bucket=3``. A snapshot holds the parts that were touched since the one before it;
+    an older snapshot stands for the others. ``fixed`` names leading partition columns, by path, that all state lies
+    under; rows elsewhere belong to their batch alone and are in no snapshot.
+    """
+
+    def __init__(self, root: str, schema: str, keys: tuple[str, ...], fixed: str = ""):
+        self.fixed = f"{fixed}/" if fixed else ""
+        leading = tuple(p.split("=")[0] for p in fixed.split("/") if p)
+        super().__init__(root, schema, (*leading, *keys))
+        self.keys = keys
+
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """All rows of state, or those of batches below ``before``."""
+        return self.read_parts(spark, None, before)
+
+    def parts(self, spark: SparkSession, after: int, through: int) -> list[str]:
+        """The parts touched by batches above ``after`` up to ``through``."""
+        written = self._complete(spark, "batches", through + 1)
+        return sorted({part for n in written if n > after for part in self._parts(spark, "batches", n)})
+
+    def read_parts(self, spark: SparkSession, parts: list[str] | None = None, before: int | None = None) -> DataFrame:
+        """Rows of state that batches below ``before`` wrote, of some parts or all."""
+        newest = self._newest(spark, before)
+        base = max(self._complete(spark, "snapshots", before), default=-1)
+        later = [n for n in self._complete(spark, "batches", before) if n > base]
+        chosen = [f"{n}/{part}" for part, n in newest.items() if parts is None or part in parts]
+        rows = self._read(spark, f"{self.root}/batches", later)
+        if self.fixed:
+            for pair in self.fixed.rstrip("/").split("/"):
+                name, value = pair.split("=")
+                rows = rows.where(F.col(name).cast("string") == value)
+        if parts is not None:
+            # Only partition columns, so directories of other parts are not read.
+            path = [F.concat(F.lit(f"{key}="), F.col(key).cast("string")) for key in self.keys]
+            rows = rows.where(F.concat_ws("/", *path).isin([part.removeprefix(self.fixed) for part in parts]))
+        return self._read(spark, f"{self.root}/snapshots", chosen).unionByName(rows) if chosen else rows
+
+    def compact(self, spark: SparkSession, batch_id: int, resolve: Callable[[DataFrame], DataFrame]) -> list[str]:
+        """Write a snapshot of the parts touched since the last one, their rows so far put through ``resolve``."""
+        base = max(self._complete(spark, "snapshots", batch_id), default=-1)
+        touched = self.parts(spark, base, batch_id)
+        earlier = self.read_parts(spark, touched, batch_id)
+        own = self.read_batch(spark, batch_id)
+        for pair in [p for p in self.fixed.split("/") if p]:
+            name, value = pair.split("=")
+            own = own.where(F.col(name).cast("string") == value)
+        rows = resolve(earlier.unionByName(own)).hint("rebalance", *self.partitions)
+        self._write(rows.drop("batch_id"), f"{self.root}/snapshots/batch_id={batch_id}")
+        return touched
+
+    def forget(self, spark: SparkSession, through: int) -> None:
+        """Remove what snapshots up to ``through`` cover: older batches, and parts that a later snapshot holds."""
+        old = self._complete(spark, "snapshots", through + 1)
+        if not old:
+            return
+        newest = self._newest(spark, through + 1)
+        for n in self._complete(spark, "batches", old[-1] + 1):
+            self._delete(spark, f"batches/batch_id={n}")
+        for n in old[:-1]:
+            parts = self._parts(spark, "snapshots", n)
+            covered = [part for part in parts if newest[part] != n]
+            if len(covered) == len(parts):
+                self._delete(spark, f"snapshots/batch_id={n}")
+            else:
+                for part in covered:
+                    self._delete(spark, f"snapshots/batch_id={n}/{part}")
+
+    def _newest(self, spark: SparkSession, before: int | None) -> dict[str, int]:
+        """The snapshot that holds each part."""
+        return {part: n for n in self._complete(spark, "snapshots", before) for part in self._parts(spark, "snapshots", n)}
+
+    def _parts(self, spark: SparkSession, kind: str, number: int) -> list[str]:
+        root = f"{self.root}/{kind}/batch_id={number}"
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{self.fixed}" + "/".join(f"{key}=*" for key in self.keys))
+        found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+        depth = len(self.partitions)
+        return ["/".join(f.getPath().toString().split("/")[-depth:]) for f in found]
+
+
 def arrival() -> Column:
     """Order of rows of a :class:`BatchTable`: by micro-batch, then by ``seq`` within it."""
     return F.struct("batch_id", "seq")

@@ -33,6 +33,7 @@ class VisitStream:
         if (batch_id + 1) % self.compact_every == 0:
             rows = self.updates.read_through(batch.sparkSession, batch_id)
             self.updates.write_snapshot(_latest(rows), batch_id)
+            self.updates.forget(batch.sparkSession, batch_id - self.compact_every)
 
     def visits(self, spark) -> DataFrame:
         """``(mid, first_date)`` after all batches so far."""
