@@ -32,8 +32,9 @@ _ROOT = "named_struct('depth', 0L, 'x', 0L, 'y', 0L)"
 # --- conversations as sequences -------------------------------------------------------------------
 
 
-def positions(conversations: DataFrame) -> DataFrame:
-    """``(conv_id, pos, t, size)``: every turn's place in its conversation, digest of role and text, bytes of its text.
+def positions(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(conv_id, pos, t, size)``: every turn's place in its conversation, digest of role and text, bytes of its text;
+    and ``(conv_id, n)``, the turns of each conversation.
 
     Turns are in order of ``turn``, NULL first, equal ones of their digests. Turns of a conversation may lie in many
     tasks: each counts its own, and what stands before them is added.
@@ -48,11 +49,12 @@ def positions(conversations: DataFrame) -> DataFrame:
     dealt = turns.withColumn("row", F.monotonically_increasing_id()).repartitionByRange("conv_id", first, "t", "row")
     parts = sealed(dealt.drop("row").withColumn("part", F.spark_partition_id()), "trie-turns")
     before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = parts.groupBy("conv_id", "part").agg(F.count("*").alias("n"))
+    counts = sealed(parts.groupBy("conv_id", "part").agg(F.count("*").alias("n")), "trie-parts")
     offsets = counts.select("conv_id", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     own = F.row_number().over(Window.partitionBy("conv_id", "part").orderBy(first, "t"))
     placed = parts.withColumn("own", own).join(offsets, ["conv_id", "part"])
-    return placed.select("conv_id", (F.col("offset") + F.col("own")).alias("pos"), "t", "size")
+    turns = sealed(placed.select("conv_id", (F.col("offset") + F.col("own")).alias("pos"), "t", "size"), "trie-positions")
+    return turns, counts.groupBy("conv_id").agg(F.sum("n").alias("n"))
 
 
 def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -61,8 +63,7 @@ def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     Conversation ``c`` gets the first ``h`` turns of conversation ``c - c % 5`` and its own after its first ``h``;
     ``h`` is the CRC-32 of ``c`` in digits, modulo 9.
     """
-    turns = sealed(positions(conversations), "trie-positions")
-    lengths = sealed(turns.groupBy("conv_id").agg(F.count("*").alias("n")), "trie-lengths")
+    turns, lengths = positions(conversations)
     heads = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
     base = lengths.select(F.col("conv_id").alias("base"), F.col("n").alias("n_base"))
     convs = lengths.select("conv_id", "n", heads.alias("h"), (F.col("conv_id") - F.col("conv_id") % 5).alias("base")).join(base, "base", "left")
@@ -134,7 +135,7 @@ def _edges(stretches: DataFrame, parts: DataFrame) -> DataFrame:
     )
 
 
-def _search(open_chunks: DataFrame, edges: DataFrame) -> DataFrame:
+def _search(open_chunks: DataFrame, edges: DataFrame, longest: int) -> DataFrame:
     """Fat binary search: the rows with ``a``, the depth of the last node on their path, and the edge ``hit`` they go on into, if any.
 
     Rows that need no further step get a key of their own that nothing has, so they are spread.
@@ -143,7 +144,6 @@ def _search(open_chunks: DataFrame, edges: DataFrame) -> DataFrame:
     handles = edges.select(F.col("handle").alias("key"), edge)
     state = open_chunks.selectExpr("*", f"greatest(lo, k * {CHUNK}) AS a", f"k * {CHUNK} + size(ps) AS high").withColumn("b", F.col("high"))
     state = state.withColumn("hit", F.lit(None).cast(edges.select(edge).schema[0].dataType))
-    longest = open_chunks.agg(F.max(F.size("ps"))).first()[0]
     none = "named_struct('depth', -1L, 'x', c, 'y', k)"
     for _ in range(longest.bit_length()):
         state = state.withColumn("f", F.expr(f"if(a < b, {two_fattest('a', 'b')}, NULL)"))
@@ -165,13 +165,12 @@ def _search(open_chunks: DataFrame, edges: DataFrame) -> DataFrame:
 
 def _exits(searched: DataFrame, parts: DataFrame) -> DataFrame:
     """``(c, length, m, cut, next)``: the depth to which a sequence lies in the trie, the edge to cut there, the prefix it goes on with."""
-    searched = sealed(searched, "trie-searched")
-    inside = searched.where("hit IS NOT NULL").withColumn("rep", F.col("hit.rep"))
-    other = parts.select(F.col("c").alias("rep"), "k", F.col("ps").alias("qs"))
-    shared = f"a + size(filter(sequence(a + 1, least(hit.e, high)), d -> {_at('d')}.x = {_at('d', 'qs')}.x AND {_at('d')}.y = {_at('d', 'qs')}.y)) AS m"
-    columns = ["c", "length", "k", "ps", "high", "hit"]
-    placed = inside.join(other, ["rep", "k"]).selectExpr(*columns, shared)
-    placed = placed.unionByName(searched.where("hit IS NULL").selectExpr(*columns, "a AS m"))
+    # Rows that are on no edge get a key that no chunk has, each its own.
+    found = searched.withColumn("key", F.expr("if(hit IS NULL, named_struct('on', false, 'rep', c, 'k', k), named_struct('on', true, 'rep', hit.rep, 'k', k))"))
+    other = parts.select(F.expr("named_struct('on', true, 'rep', c, 'k', k)").alias("key"), F.col("ps").alias("qs"))
+    same = f"{_at('d')}.x = {_at('d', 'qs')}.x AND {_at('d')}.y = {_at('d', 'qs')}.y"
+    shared = f"if(hit IS NULL, a, a + size(filter(sequence(a + 1, least(hit.e, high)), d -> {same}))) AS m"
+    placed = found.join(other, "key", "left").selectExpr("c", "length", "k", "ps", "high", "hit", shared)
     placed = placed.selectExpr(
         "c", "length", "k", "m", "high",
         "if(m > hit.s AND m < hit.e, named_struct('rep', hit.rep, 'k', k, 's', hit.s, 'e', hit.e), NULL) AS cut",
@@ -187,6 +186,7 @@ def build(parts: DataFrame, ends: DataFrame) -> DataFrame:
     """The edges of the compacted trie of all sequences; ``ends`` has their ``(c, id, bytes)``."""
     different = ends.where("id.depth > 0").groupBy("id").agg(F.min("c").alias("c"))
     sequences = sealed(different.select("c", F.col("id.depth").alias("length")), "trie-sequences")
+    longest = min(sequences.agg(F.max("length")).first()[0] or 0, CHUNK)
     todo = sequences.withColumn("lo", F.lit(0).cast("bigint"))
     edges = None
     while not todo.isEmpty():
@@ -194,7 +194,7 @@ def build(parts: DataFrame, ends: DataFrame) -> DataFrame:
         if edges is None:  # nothing to search in
             exits = live.where("k = 0").selectExpr("c", "length", "0L AS m", f"named_struct('x', {_at('1')}.x, 'y', {_at('1')}.y) AS next")
         else:
-            exits = _exits(_search(sealed(live, "trie-live"), edges), parts)
+            exits = _exits(_search(live, edges, longest), parts)
         leaving = exits.where("next IS NOT NULL")
         chosen = leaving.groupBy("m", "next").agg(F.min_by(F.struct("c", "length"), F.xxhash64("c")).alias("l")).select("m", "l.*")
         chosen = sealed(chosen, "trie-leaders")
@@ -205,7 +205,6 @@ def build(parts: DataFrame, ends: DataFrame) -> DataFrame:
             edges = sealed(_edges(added, parts), "trie-edges")
         else:
             cuts = exits.where("cut IS NOT NULL").select("cut.*", "m").groupBy("rep", "k", "s", "e").agg(F.collect_set("m").alias("ms"))
-            cuts = sealed(cuts, "trie-cuts")
             bounds = cuts.selectExpr("rep", "k", "array_sort(concat(array(s, e), ms)) AS b")
             split = bounds.selectExpr("rep", "k", "inline(transform(slice(b, 1, size(b) - 1), (s, i) -> named_struct('s', s, 'e', b[i + 1])))")
             kept = edges.join(cuts.select("rep", "s"), ["rep", "s"], "left_anti").select(*edges.columns)
