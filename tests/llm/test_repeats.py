@@ -182,6 +182,45 @@ def test_links_in_a_large_bucket(spark):
     assert found == {i: i for i in range(560)} | {599 - i: 200 + i for i in range(40)}
 
 
+def variants(n, shared):
+    """Texts around one template that are mutually below 0.8: with tails of their own, or all of whose words many others have too."""
+    template, r = passage(41, 89), random.Random(n)
+    if shared:
+        return [" ".join([template, *[f"teil{k}x{r.randrange(6)}" for k in range(14)]]) for _ in range(n)]
+    return [" ".join([template, *[f"eigen{i}n{k}" for k in range(14)]]) for i in range(n)]
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_rows_grow_with_a_group_not_with_its_square(spark, monkeypatch, shared):
+    found = {}
+    for n in (300, 900):
+        rows, plain = Counter(), minhash.sealed
+
+        def counting(df, name):
+            out = plain(df, name)
+            rows[name] += out.count()
+            return out
+
+        monkeypatch.setattr(minhash, "sealed", counting)
+        docs = spark.createDataFrame(list(enumerate(variants(n, shared))), "doc_id BIGINT, text STRING")
+        got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+        monkeypatch.setattr(minhash, "sealed", plain)
+        if n == 300:
+            assert got == {i: c for i, (_, c) in plain_components(by_id(docs), 4).items()}
+        found[n] = rows
+    for name, n in found[900].items():
+        assert n <= 4 * found[300][name] + 1000, (name, n, found[300][name])
+
+
+def test_blocks_of_a_large_bucket(spark, monkeypatch):
+    """The links between and within many blocks are those of one block."""
+    docs = spark.createDataFrame(list(enumerate(variants(150, True) + ["a b c d e f"] * 2)), "doc_id BIGINT, text STRING")
+    monkeypatch.setattr(minhash, "BLOCK_SETS", 20)
+    monkeypatch.setattr(minhash, "COLUMNS", 7)
+    want = {i: c for i, (_, c) in plain_components(by_id(docs), 4).items()}
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()} == want
+
+
 def test_without_copies(docs):
     left = minhash.without_copies(docs, 4)
     ids = [r.doc_id for r in left.select("doc_id").collect()]
