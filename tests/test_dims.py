@@ -195,3 +195,103 @@ def test_rules_that_arrive_together_have_one_order(spark):
         table = routing.routing_table(rules.from_snapshot(spark.createDataFrame(given, names)))
         found.add(tuple(sorted((r.source_table, r.sink_columns, tuple(r.table_columns)) for r in table.collect())))
     assert found == {(("a", "id,c", ("id", "a")), ("b", "id,b", ("id", "a")))}
+
+
+# --- rules in force when a change arrived -----------------------------------------------------
+
+
+def test_a_change_goes_by_the_rule_of_its_time(spark):
+    given = feed(spark, ("t", "dim_a", "id,a", None), None, ("t", "dim_b", "id,a", None), ("t", "bad", "x", None), ("t", "dim_a", "id,b", None), ("u", "dim_u", "id", None))
+    periods = routing.rule_periods(given)
+    got = {(r.source_table, r.from_seq, r.to_seq, r.sink_table, tuple(r.table_columns)) for r in periods.collect()}
+    assert got == {("t", 0, 2, "dim_a", ("id", "a")), ("t", 2, 4, "dim_b", ("id", "a")), ("t", 4, None, "dim_a", ("id", "a")), ("u", 5, None, "dim_u", ("id",))}
+    topic = changes(spark, *[change({"id": i, "a": 1}) for i in range(6)], "junk", change({"id": 7}, table="u"), change({"id": 8}, table="none"))
+    routed = dims.route_as_of(topic, periods)
+    rows = {r.seq: (r.sink_table, r.status) for r in routed.collect()}
+    assert rows == {
+        0: ("dim_a", "accepted"), 1: ("dim_a", "accepted"), 2: ("dim_b", "accepted"), 3: ("dim_b", "accepted"), 4: ("dim_a", "accepted"),
+        5: ("dim_a", "accepted"), 6: (None, "dirty"), 7: ("dim_u", "accepted"), 8: (None, "unmatched"),
+    }
+    assert {r.seq: sorted(r.data) for r in routed.where("seq > 3 AND seq < 6").collect()} == {4: ["id"], 5: ["id"]}
+    early = dims.route_as_of(changes(spark, change({"id": 1}, table="u")), periods)
+    assert [r.status for r in early.collect()] == ["unmatched"]
+    assert dims.route_as_of(topic, routing.rule_periods(feed(spark))).where("status <> 'unmatched' AND status <> 'dirty'").count() == 0
+
+
+def test_known_rules_hold_from_the_beginning(spark):
+    known = routing.lasting_rules(feed(spark, ("t", "dim_a", "id,a", None), ("t", "dim_b", "id", None), ("t", "dim_c", "id", None)))
+    assert {(r.seq, r.rule.sink_table) for r in known.collect()} == {(0, "dim_a"), (1, "dim_b"), (2, "dim_c")}
+    new = rules.from_change_feed(spark.createDataFrame([(9, json.dumps({"after": {"source_table": "t", "sink_table": "dim_a", "sink_columns": "id,b", "sink_pk": None}}))], "seq bigint, value string"))
+    got = {(r.from_seq, r.to_seq, r.sink_table, tuple(r.table_columns)) for r in routing.rule_periods(new, known).collect()}
+    assert got == {(-1, 9, "dim_c", ("id",)), (9, None, "dim_a", ("id", "a"))}
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(38,0)"])
+def test_many_rules_of_one_source(spark, kind):
+    """Places in the order are found through bins, whatever numbers they are, with one row for a change."""
+    from weir.streaming.storage import written
+
+    rng, step = random.Random(3), 10**6 if kind == "bigint" else 10**30
+    at = sorted(rng.sample(range(1, 400), 150))
+    names = ("source_table", "sink_table", "sink_columns")
+    rows = [(n * step, json.dumps({"after": dict(zip(names, ("t", f"dim_{n}", "id")))})) for n in at]
+    given = rules.from_change_feed(spark.createDataFrame([(str(s), v) for s, v in rows], "seq string, value string").withColumn("seq", F.col("seq").cast(kind)))
+    topic = [(str(n * step + d), json.dumps(change({"id": 1}))) for n in range(0, 420, 3) for d in (-1, 0, 1) if n + d >= 0]
+    topic = spark.createDataFrame(topic, "seq string, value string").withColumn("seq", F.col("seq").cast(kind))
+    routed = dims.route_as_of(dims.parse_changes(topic), written(routing.rule_periods(given), "periods"))
+    found = {int(r.seq): r.sink_table for r in routed.collect()}
+    assert len(found) == topic.count()
+    for seq, sink in found.items():
+        before = [n for n in at if n * step <= seq]
+        assert sink == (f"dim_{before[-1]}" if before else None)
+    plan = routed._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {int(r.seq): r.sink_table for r in routed.select("*").collect()} == found
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+# --- rules too many to broadcast, snapshots with a position -----------------------------------
+
+
+def test_a_hot_table_is_spread(spark):
+    """One table with nine tenths of the changes, nothing broadcast: its changes lie in many partitions, rows are the same."""
+    body = "concat('{\"table\":\"', if(id % 10 = 0, concat('t', id % 70), 'hot'), '\",\"type\":\"insert\",\"data\":{\"id\":', id, '}}')"
+    topic = spark.range(0, 8000, numPartitions=8).selectExpr("id AS seq", f"if(id % 97 = 0, 'junk', {body}) AS value")
+    given = routing.routing_table(feed(spark, ("hot", "dim_hot", "id", None), *[(f"t{n}", f"dim_{n}", "id", None) for n in range(0, 70, 20)]))
+    made = dims.kept_changes(dims.parse_changes(topic), with_dirty=True)
+    assert dims.hot_tables(made) == ["hot"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spread = dims.route_spread(made, given, salts=16)
+        plan = spread._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        got = sorted(tuple(r) for r in spread.select("seq", "sink_table", "pk", "status").collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted(tuple(r) for r in dims.route(made, given).select("seq", "sink_table", "pk", "status").collect()) and len(got) == 8000
+    keys = made.where("source_table = 'hot'").select(F.hash("source_table", F.pmod(F.xxhash64("seq"), F.lit(16)).cast("int")).alias("h"))
+    sizes = [r["count"] for r in keys.groupBy("h").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * sum(sizes) / 16
+
+
+def positioned(seq, file, pos, sink, snapshot="false"):
+    after = {"source_table": "t", "sink_table": sink, "sink_columns": "id", "sink_pk": None}
+    return seq, json.dumps({"after": after, "source": {"file": file, "pos": pos, "snapshot": snapshot}})
+
+
+def test_hand_over_from_snapshot_to_feed(spark):
+    messages = [
+        positioned(0, "bin.000003", 50, "late"), positioned(1, "bin.000002", 10, "at"), positioned(2, "bin.000002", 9, "before"),
+        positioned(3, "bin.000010", 1, "last"), positioned(4, "bin.000011", 5, "own", "true"), positioned(5, None, 5, "nowhere"), (6, "junk"),
+        (7, json.dumps({"after": None, "source": {"file": "bin.000004", "pos": 1}})),
+    ]
+    fed = rules.from_positioned_feed(spark.createDataFrame(messages, "seq bigint, value string"))
+    names = ", ".join(f"{n} string" for n in rules.RULE_FIELDS)
+    snapshot = rules.from_snapshot(spark.createDataFrame([("t", "taken", "id", None, None), ("u", "dim_u", "id", None, None)], names))
+    given = rules.hand_over(snapshot, rules.log_position(F.lit("bin.000002"), F.lit(10)), fed)
+    rows = [(r.seq, r.rule and r.rule.sink_table) for r in given.orderBy("seq").collect()]
+    assert [sink for _, sink in rows] == ["taken", "dim_u", "late", None, "last"]
+    assert {r.source_table: r.sink_table for r in routing.active_rules(given).collect()} == {"t": "last", "u": "dim_u"}

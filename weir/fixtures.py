@@ -220,6 +220,24 @@ def routing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(k.alias("seq"), F.to_json(body).alias("value"))
 
 
+# Where the log stood when the snapshot of :func:`positioned_feed` was taken.
+SNAPSHOT_FILE, SNAPSHOT_POS = "bin.000003", 4000
+
+
+def positioned_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes of :func:`routing_feed` with log positions: five files that arrive in the wrong order, some rows of a snapshot
+    of the connector's own among them.
+    """
+    k = F.col("seq")
+    source = F.struct(
+        F.concat(F.lit("bin."), F.lpad(_text(5 - k % 5), 6, "0")).alias("file"),
+        (k * 7).alias("pos"),
+        F.when(k % 19 == 0, "true").otherwise("false").alias("snapshot"),
+    )
+    body = F.concat(F.substring("value", F.lit(1), F.length("value") - 1), F.lit(',"source":'), F.to_json(source), F.lit("}"))
+    return routing_feed(spark, sf_dir).select("seq", body.alias("value"))
+
+
 def routing_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routing changes, one per row of ``supplier``, that arrive all through :func:`topic_db`.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weir.functions import records
 from weir.operators import routing
+from weir.streaming.storage import written
 
 # Change types that carry a row to keep.
 KEPT_TYPES = ("insert", "update", "bootstrap-insert")
@@ -89,6 +90,33 @@ def route(changes: DataFrame, rules: DataFrame, match: str = "exact") -> DataFra
     return _settled(changes.join(rules, "source_table", "left"), match)
 
 
+# A source table is hot that has more than this share of all changes; there are 20 of them at most.
+HOT_SHARE = 0.05
+SALTS = 64
+
+
+def hot_tables(changes: DataFrame, share: float = HOT_SHARE) -> list[str]:
+    """The source tables with more than ``share`` of all changes: fewer than ``1 / share`` names."""
+    counts = written(changes.groupBy("source_table").agg(F.count("*").alias("n")), "table-counts")
+    total = F.broadcast(counts.agg(F.sum("n").alias("total")))
+    hot = counts.join(total, F.col("n") > F.col("total") * share).where("source_table IS NOT NULL")
+    return sorted(r.source_table for r in hot.collect())
+
+
+def route_spread(changes: DataFrame, rules: DataFrame, match: str = "exact", salts: int = SALTS) -> DataFrame:
+    """:func:`route` where the rules are too many to broadcast: changes are shuffled, those of hot source tables and those without
+    one over ``salts`` keys. Only the rules of hot tables are copied, once for each key.
+
+    Looks at ``changes`` twice, the first time at their source tables only.
+    """
+    hot = hot_tables(changes)
+    is_hot, salt = F.col("source_table").isin(hot), F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("int")
+    salted = changes.withColumn("salt", F.when(is_hot | F.col("source_table").isNull(), salt).otherwise(0))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copied = rules.withColumn("salt", F.explode(copies))
+    return _settled(salted.join(copied.hint("merge"), ["source_table", "salt"], "left"), match)
+
+
 def route_as_of(changes: DataFrame, periods: DataFrame, match: str = "exact") -> DataFrame:
     """:func:`route` by the rule that was in force when the change arrived; see ``routing.rule_periods``.
 

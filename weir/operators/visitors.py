@@ -72,6 +72,15 @@ def parse_logs(topic: DataFrame) -> DataFrame:
     return fields.select(F.inline(F.array(row)))
 
 
+def candidates(logs: DataFrame, zone: str = dates.ZONE) -> DataFrame:
+    """``(mid, seq, candidate DATE)``: the first day each record gives its device, should it be the first of them."""
+    claims_new = F.col("is_new").eqNullSafe(NEW)
+    candidate = F.when(claims_new, dates.day(F.col("ts"), zone)).otherwise(
+        dates.previous_day(F.col("ts"), zone)
+    )
+    return logs.select("mid", "seq", candidate.alias("candidate"))
+
+
 def first_visits(logs: DataFrame, zone: str = dates.ZONE, undated: bool = False) -> DataFrame:
     """``(mid, first_date DATE, first_seq)``: the first day of each device and the record that set it.
 
@@ -80,13 +89,8 @@ def first_visits(logs: DataFrame, zone: str = dates.ZONE, undated: bool = False)
     DATE and BIGINT buffers let Spark hash-aggregate and combine before the shuffle, so a
     device with very many records sends one row per task.
     """
-    claims_new = F.col("is_new").eqNullSafe(NEW)
-    candidate = F.when(claims_new, dates.day(F.col("ts"), zone)).otherwise(
-        dates.previous_day(F.col("ts"), zone)
-    )
     visits = (
-        logs.where("mid IS NOT NULL")
-        .select("mid", "seq", candidate.alias("candidate"))
+        candidates(logs.where("mid IS NOT NULL"), zone)
         .select("mid", "candidate", F.when(F.col("candidate").isNotNull(), F.col("seq")).alias("seq"))
         .groupBy("mid")
         .agg(F.min_by("candidate", "seq").alias("first_date"), F.min("seq").alias("first_seq"))

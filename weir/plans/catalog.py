@@ -16,11 +16,12 @@ from weir.functions import dates, records
 from weir.operators import dims, routing, split, visitors
 from weir.plans import dim_flow, log_flow
 from weir.sinks import topics as topic_sinks
-from weir.sinks.tables import BUCKET, KEY
+from weir.sinks.tables import KEY
 from weir.sources import rules, topics
 from weir.streaming.dim_job import DimJob
 from weir.streaming.log_job import LogJob
-from weir.streaming.storage import arrival, new_path
+from weir.streaming.storage import arrival, new_path, written
+from weir.streaming.visit_state import VisitState
 from weir.streaming.visit_stream import VisitStream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +92,16 @@ def config_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def config_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules from a snapshot and a feed that overlap, in order of the log: what is in force and the tables it writes to."""
+    position = rules.log_position(F.lit(fixtures.SNAPSHOT_FILE), F.lit(fixtures.SNAPSHOT_POS))
+    given = rules.hand_over(
+        rules.from_snapshot(fixtures.routing_snapshot(spark, sf_dir)), position, rules.from_positioned_feed(fixtures.positioned_feed(spark, sf_dir))
+    )
+    table = routing.routing_table(given)
+    return table.select("source_table", "sink_table", "sink_pk", F.array_join("table_columns", ",").alias("table_columns"), "table_pk")
+
+
 def target_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.target_columns(rules.from_change_feed(fixtures.routing_feed(spark, sf_dir)))
 
@@ -133,6 +144,11 @@ def dim_project_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("seq", "sink_table", _names(F.col("data")).alias("kept"), "status")
 
 
+def dim_route_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The route of every change by a join that broadcasts nothing, hot tables spread over many keys."""
+    return _routed(spark, sf_dir, spread=True, with_dirty=True).select("seq", "source_table", "sink_table", "status")
+
+
 def dim_route_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All changes by the rules that were in force when they arrived, while rules change all through the topic."""
     rows = dim_flow.routed_as_of(fixtures.topic_db(spark, sf_dir), fixtures.routing_history(spark, sf_dir))
@@ -332,6 +348,16 @@ def _run(topic: DataFrame, start: Callable[..., object]) -> None:
         start(topics.stream_files(spark, path), availableNow=True).awaitTermination()
 
 
+def stream_first_visit_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First visits on keyed state that starts from those of the first quarter of the topic, made as a batch."""
+    topic = written(fixtures.topic_log(spark, sf_dir), "topic")
+    start = topic.agg(F.max("seq")).first()[0] // 4
+    earlier = written(visitors.first_visits(visitors.parse_logs(topic.where(F.col("seq") <= start))), "earlier-visits")
+    state = VisitState(new_path(spark, "visit-state"), earlier)
+    _run(topic.where(F.col("seq") > start), state.start)
+    return state.visits(spark)
+
+
 def _log_job(spark: SparkSession, sf_dir: str) -> LogJob:
     job = LogJob(new_path(spark, "log-job"))
     _run(fixtures.topic_log(spark, sf_dir, raw=True), job.start)
@@ -419,10 +445,10 @@ def stream_dim_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.sql(f"CREATE DATABASE `{database}` LOCATION '{path}'")
     _dim_job(spark, sf_dir, tables=database, compact_every=2)
     cells = None
-    for table in sorted(t.name for t in spark.catalog.listTables(database)):
+    for table in sorted(t.name for t in spark.catalog.listTables(database) if t.tableType == "VIEW"):
         properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{table}`").collect()}
         data = spark.table(f"`{database}`.`{table}`")
-        pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in data.columns if c != BUCKET]
+        pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in data.columns]
         own = data.select(
             F.lit(table).alias("sink_table"), F.col(properties[KEY]).alias("pk"), F.inline(F.array(*pairs))
         ).where("value IS NOT NULL")
@@ -438,12 +464,14 @@ QUERIES: dict[str, Query] = {
         record_functions,
         config_latest,
         config_snapshot,
+        config_handover,
         target_columns,
         dim_route,
         dim_unmatched,
         dim_rejects,
         dim_project_exact,
         dim_project_substring,
+        dim_route_spread,
         dim_route_as_of,
         dim_upsert,
         first_visit,
@@ -459,6 +487,7 @@ QUERIES: dict[str, Query] = {
         log_daily,
         date_functions,
         stream_first_visit,
+        stream_first_visit_state,
         stream_is_new_repair,
         stream_log_fanout,
         stream_log_once,

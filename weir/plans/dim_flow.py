@@ -10,15 +10,25 @@ from weir.streaming.storage import written
 
 
 def routed_changes(
-    topic: DataFrame, rule_changes: DataFrame, match: str = "exact", with_dirty: bool = False
+    topic: DataFrame, rule_changes: DataFrame, match: str = "exact", with_dirty: bool = False, spread: bool | None = None
 ) -> DataFrame:
     """Change messages matched with the rules in force; see ``dims.route``.
 
-    The routing table is written first, so its real size decides how it is joined.
+    The routing table is written first, so its real size decides how it is joined: broadcast, or with the changes of hot
+    tables spread over many keys (``dims.route_spread``). ``spread`` settles it beforehand.
     """
     changes = dims.kept_changes(dims.parse_changes(topic), with_dirty=with_dirty)
     table = written(routing.routing_table(rules.from_change_feed(rule_changes)), "routing")
-    return dims.route(changes, table, match)
+    if spread is None:
+        spread = not fits_broadcast(table)
+    return dims.route_spread(changes, table, match) if spread else dims.route(changes, table, match)
+
+
+def fits_broadcast(table: DataFrame) -> bool:
+    """Whether Spark would broadcast a written table, by its size on disk."""
+    limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
 
 
 def routed_as_of(

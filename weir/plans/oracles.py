@@ -213,6 +213,20 @@ FROM valid GROUP BY source_table""",
 ), first_ AS (
   SELECT sink_table, names, sink_pk, row_number() OVER (PARTITION BY sink_table ORDER BY seq, source_table) AS n FROM both_
 )
+SELECT source_table, sink_table, a.sink_pk, array_to_string(list_transform(f.names, lambda x: trim(x)), ',') AS table_columns,
+       f.sink_pk AS table_pk
+FROM active a JOIN first_ f USING (sink_table) WHERE f.n = 1""",
+        "config_handover": _RULES
+        + """, both_ AS (
+  SELECT CAST(5 - seq % 5 AS HUGEINT) * 100000000000 + seq * 7 AS seq, source_table, sink_table, sink_pk, names FROM valid
+  WHERE seq % 19 <> 0 AND (5 - seq % 5 > 3 OR (5 - seq % 5 = 3 AND seq * 7 > 4000))
+  UNION ALL
+  SELECT -1, 'src_' || n_nationkey, 'dim_shared_' || (n_nationkey % 5), 'id', ['id', 'n' || n_nationkey] FROM nation
+), active AS (
+  SELECT source_table, arg_max(sink_table, seq) AS sink_table, arg_max(sink_pk, seq) AS sink_pk FROM both_ GROUP BY 1
+), first_ AS (
+  SELECT sink_table, names, sink_pk, row_number() OVER (PARTITION BY sink_table ORDER BY seq, source_table) AS n FROM both_
+)
 SELECT source_table, sink_table, a.sink_pk, array_to_string(list_transform(f.names, lambda x: trim(x)), ',') AS table_columns,
        f.sink_pk AS table_pk
 FROM active a JOIN first_ f USING (sink_table) WHERE f.n = 1""",
@@ -247,6 +261,11 @@ SELECT seq, sink_table,
                          WHEN 'supplier' THEN 's_name,s_suppkey' ELSE 'id,n_name' END AS kept,
        CASE source_table WHEN 'supplier' THEN 'rejected' ELSE 'accepted' END AS status
 FROM changes WHERE sink_table IS NOT NULL""",
+        "dim_route_spread": _CHANGES
+        + """
+SELECT seq, CASE WHEN seq % 101 <> 0 THEN source_table END AS source_table, CASE WHEN seq % 101 <> 0 THEN sink_table END AS sink_table,
+       CASE WHEN seq % 101 = 0 THEN 'dirty' WHEN sink_table IS NULL THEN 'unmatched' ELSE 'accepted' END AS status
+FROM messages WHERE seq % 101 = 0 OR version < 2""",
         "dim_route_as_of": _HISTORY,
         "dim_upsert": _DIM_UPSERT,
         "first_visit": _LOGS + "SELECT mid, first_date FROM firsts",
@@ -295,6 +314,7 @@ SELECT event_id AS seq, epoch_us(ts) // 1000 AS ms,
 FROM events""",
     }
     sql["stream_first_visit"] = sql["first_visit"]
+    sql["stream_first_visit_state"] = sql["first_visit"]
     sql["stream_is_new_repair"] = _LOGS + "SELECT seq, mid, is_new FROM logs"
     sql["stream_log_fanout"] = sql["log_fanout"]
     sql["stream_log_once"] = f"SELECT seq, topic, mid, is_new, page_id, ts, position, action_id FROM ({_FANOUT})"

@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -72,7 +72,7 @@ class DimJob:
         database: str | None = None,
         compact_every: int = 100,
         tables: str | None = None,
-        buckets: int = 16,
+        buckets: int = tables.BUCKETS,
         as_of: bool = False,
     ):
         self.root = root
@@ -119,7 +119,7 @@ class DimJob:
         counted = [F.count_if((F.col("status") == s) & F.col("reason").eqNullSafe(r)).alias(f"n{i}") for i, (s, r) in enumerate(_COUNTED)]
         routed = route.observe(seen, *counted).persist()
         try:
-            accepted = routed.where(F.col("status") == dims.ACCEPTED).withColumn("bucket", self.bucket())
+            accepted = routed.where(F.col("status") == dims.ACCEPTED).withColumn("bucket", tables.bucket(self.buckets))
             # Few files per bucket whatever the number of tasks, and several tasks for a large one.
             self.routed.write(accepted.drop("status", "reason", "value").hint("rebalance", "sink_table", "bucket"), batch_id)
             self.rejected.write(routed.where(F.col("status") != dims.ACCEPTED).drop("pk", "data").hint("rebalance", "status"), batch_id)
@@ -134,9 +134,6 @@ class DimJob:
         if (batch_id + 1) % self.compact_every == 0:
             self.compact(spark, batch_id)
 
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64("pk"), F.lit(self.buckets)).cast("int")
-
     def publish(self, spark: SparkSession, parts: list[str]) -> None:
         """Bring buckets of the catalog tables up to date, the tables one after the other.
 
@@ -146,7 +143,7 @@ class DimJob:
         for part in parts:
             by_table.setdefault(part.split("/")[0].removeprefix("sink_table="), []).append(part)
         for table, own in by_table.items():
-            tables.publish(spark, self.accepted(spark, own), table, self.bucket(), self.tables, arrival())
+            tables.publish(spark, self.accepted(spark, own), table, self.tables, arrival(), self.buckets)
 
     def accepted(self, spark: SparkSession, parts: list[str] | None = None) -> DataFrame:
         """Rows for dimension tables, with ``batch_id`` and ``seq`` as their order."""
@@ -170,7 +167,7 @@ class DimJob:
     def _resolved(self, changes: DataFrame) -> DataFrame:
         rows = dims.latest_maps(changes, arrival())
         return rows.select(
-            F.lit(-1).cast(SEQ).alias("seq"), F.lit(None).cast("string").alias("source_table"), "pk", "data", "sink_table", self.bucket().alias("bucket")
+            F.lit(-1).cast(SEQ).alias("seq"), F.lit(None).cast("string").alias("source_table"), "pk", "data", "sink_table", tables.bucket(self.buckets).alias("bucket")
         )
 
     def _in_force(self, spark: SparkSession, arrived: DataFrame | None, batch_id: int) -> DataFrame:
