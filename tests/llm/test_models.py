@@ -118,10 +118,62 @@ def test_held_out_accuracy(spark):
     found = toxicity.score(docs, labels)
     rows = found.where("held_out").join(labels, "doc_id").select("score", "predicted", "toxic").collect()
     hits = sum(r.predicted and r.toxic for r in rows)
-    assert hits / sum(r.predicted for r in rows) > 0.9 and hits / sum(r.toxic for r in rows) > 0.75
+    assert hits / sum(r.predicted for r in rows) > 0.95 and hits / sum(r.toxic for r in rows) > 0.85
     assert all(0 < r.score < 1 and r.predicted == (r.score >= 0.5) for r in rows)
 
 
+def plain_toxicity(rows, labels):
+    """Mean and strongest ratio of each text, from dictionaries of words."""
+    from weir.llm.text_arrays import separator_table
+
+    gap = separator_table(toxicity._MARKS)
+
+    def words(text):
+        data = bytes(32 if gap[b] else b for b in (text or "").encode().lower())
+        return data.split()
+
+    cls = {"toxic": Counter(), "ordinary": Counter()}
+    before = defaultdict(set)
+    for i, text in rows:
+        if i in labels and crc32(str(i).encode()) % 5 not in (0, toxicity.SCALE_FOLD):
+            own = words(text)
+            cls["toxic" if labels[i] else "ordinary"].update(set(own))
+            for a, b in zip([None, *own], own):
+                before[b].add(a)
+    pairs, v = sum(map(len, before.values())), max(len(before), 1)
+    parts = []
+    for counts in cls.values():
+        cut = [0, *toxicity._discounts([sum(c == k for c in counts.values()) for k in (1, 2, 3, 4)])]
+        parts.append((counts, cut, sum(counts.values()), sum(cut[min(c, 3)] for c in counts.values())))
+
+    def p(word, counts, cut, size, left):
+        low = (len(before[word]) + toxicity.FLOOR) / (pairs + toxicity.FLOOR * v)
+        c = counts[word]
+        return (c - cut[min(c, 3)]) / size + left / size * low if size else low
+
+    ratio = {w: math.log(p(w, *parts[0])) - math.log(p(w, *parts[1])) for w in list(before)}
+    n = {w: cls["toxic"][w] + cls["ordinary"][w] for w in ratio}
+    others = [w for w in ratio if not cls["toxic"][w]]
+    rest = sum(ratio[w] * n[w] for w in others) / sum(n[w] for w in others) if others else 0.0
+    out = []
+    for i, text in rows:
+        own = [ratio[w] if cls["toxic"][w] else rest for w in words(text)]
+        out.append((i, len(own), sum(own) / len(own) if own else 0.0, max(own, default=0.0)))
+    return out
+
+
+def test_evidence_is_that_of_dictionaries(spark, docs):
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(100 + i, passage(i, 30) + (" Übel! schlimm" if i % 3 == 0 else "")) for i in range(60)]
+    labels = {i: int(i % 3 == 1) for i in range(10, 45)} | {100 + i: int(i % 3 == 0) for i in range(60)}
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(3)
+    taught = spark.createDataFrame(list(labels.items()), "doc_id BIGINT, toxic INT")
+    found = sorted((tuple(r) for r in toxicity.score(df, taught).select("doc_id", "n_words", "mean", "strongest").collect()), key=repr)
+    want = sorted(plain_toxicity(rows, labels), key=repr)
+    assert [f[:2] for f in found] == [w[:2] for w in want]
+    for f, w in zip(found, want):
+        assert f[2:] == pytest.approx(w[2:], rel=1e-4, abs=1e-5)
+
+
 def test_held_out_labels_teach_nothing(spark):
     docs = read(spark, "/root/testdata/sf0.01", "documents", "doc_id", "text")
     labels = read(spark, "/root/testdata/sf0.01", "labels", "doc_id", "toxic")
@@ -397,3 +449,14 @@ def test_graph_search_finds_the_nearest_centres():
     assert np.allclose(far, np.take_along_axis(d, at, 1))
     sizes = [len(p) for p in neighbours._halves(x, np.arange(len(x)), 300)]
     assert max(sizes) - min(sizes) <= 2 and sum(sizes) == len(x)
+
+
+def test_the_most_telling_words_are_taken(spark):
+    rated = spark.createDataFrame([(i, i % 5, 3, (i - 40) / 10) for i in range(100)], "word BIGINT, toxic BIGINT, ordinary BIGINT, ratio DOUBLE")
+    word, ratio, rest = toxicity.telling(rated, 10**6)
+    assert sorted(word.tolist()) == [i for i in range(100) if i % 5] and list(word) == sorted(word)
+    few, own, mean = toxicity.telling(rated, 12)
+    weight = {i: abs(i - 40) / 10 * (i % 5) for i in range(100)}
+    assert 0 < len(few) <= 12 and min(weight[w] for w in few.tolist()) >= max(w for i, w in weight.items() if i not in few.tolist())
+    left = [i for i in range(100) if i not in few.tolist()]
+    assert mean == pytest.approx(sum((i - 40) / 10 * (i % 5 + 3) for i in left) / sum(i % 5 + 3 for i in left))
