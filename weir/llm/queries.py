@@ -98,6 +98,7 @@ QUERIES = {f.__name__: f for f in _OPERATORS}
 ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": substring_dedup.remove_repeated_sql(),
     "op4_decontamination": decontam.leaks_sql(),
+    "op6_suffix_array_dedup": suffix_dedup.remove_repeated_sql(),
     "op7_minhash_near_dedup": minhash.near_duplicates_sql(),
     "op11_prefix_trie": prefix_trie.prefix_nodes_sql(),
 }

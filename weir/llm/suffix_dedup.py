@@ -225,3 +225,24 @@ def remove_repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     units = byte_units(length, gram)
     found = repeated(docs, units, first_windows(length), first_stays=True)
     return found.selectExpr("doc_id", "n AS n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def remove_repeated_sql(length: int = LENGTH) -> str:
+    """The same rows in DuckDB's SQL, every string of ``length`` bytes as hexadecimal digits."""
+    return f"""
+    WITH d AS MATERIALIZED (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+    w AS MATERIALIZED (SELECT doc_id, i, md5(substr(h, 2 * i + 1, {2 * length})) AS s
+        FROM (SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - {length - 1}, 0))) AS i FROM d)),
+    f AS (SELECT s, min(struct_pack(d := doc_id, i := i)) AS first FROM w GROUP BY s HAVING count(*) > 1),
+    c AS MATERIALIZED (SELECT doc_id, i FROM w JOIN f USING (s) WHERE struct_pack(d := doc_id, i := i) <> first),
+    g AS (SELECT doc_id, i, sum(apart) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM
+        (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= {length} THEN 0 ELSE 1 END AS apart FROM c)),
+    r AS MATERIALIZED (SELECT doc_id, span, min(i) AS low, max(i) + {length} AS high FROM g GROUP BY doc_id, span),
+    k AS (SELECT r.doc_id, lag(high, 1, 0) OVER (PARTITION BY r.doc_id ORDER BY low) AS low, low AS high, h FROM r JOIN d USING (doc_id)
+        UNION ALL SELECT d.doc_id, coalesce(max(high), 0), any_value(len(h) // 2), any_value(h) FROM d LEFT JOIN r USING (doc_id) GROUP BY d.doc_id),
+    j AS (SELECT doc_id, string_agg(substr(h, 2 * low + 1, 2 * (high - low)), '' ORDER BY low) AS kept FROM k GROUP BY doc_id),
+    n AS (SELECT doc_id, count(*) AS n_spans, sum(high - low) AS n_removed FROM r GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+           CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(from_hex(kept)) AS kept_sha256
+    FROM d JOIN j USING (doc_id) LEFT JOIN n USING (doc_id)
+    """
