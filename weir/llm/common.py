@@ -66,6 +66,11 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return memory that Arrow keeps for later to the machine: a worker waits beside the JVM until the next Python stage."""
+    pa.default_memory_pool().release_unused()
+
+
 def byte_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of texts; NULL counts as empty."""
     if pa.types.is_large_string(column.type):

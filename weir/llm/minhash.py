@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import byte_texts, lists, map_batches, sealed, small_batches
+from weir.llm.common import byte_texts, give_back, lists, map_batches, sealed, small_batches
 from weir.llm.components import components, forest
 from weir.llm.text_arrays import joined, lower_ascii, mixed, run_hashes, runs, separator_table
 
@@ -115,6 +115,7 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
         ]
         offsets = np.concatenate([[0], np.cumsum(full * buckets.shape[1])])
         columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), lists(buckets[full].ravel(), offsets, pa.int64())]
+        give_back()
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_key", "bands"])
 
     schema = "doc_id BIGINT, n_shingles BIGINT, set_key BINARY, bands ARRAY<BIGINT>"
@@ -126,6 +127,7 @@ def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, first = shingle_sets(byte_texts(batch.column(1)), size)
+        give_back()
         return pa.RecordBatch.from_arrays([batch.column(0), lists(hashes.view(np.int64), first, pa.int64())], ["node", "shingles"])
 
     chosen = docs.select("doc_id", "text").join(ids.select(F.col("node").alias("doc_id")), "doc_id")
