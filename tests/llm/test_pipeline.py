@@ -63,5 +63,5 @@ def test_registered(spark, sf_dir):
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in QUERIES}
+    assert {f"op{i}" for i in range(1, 14)} == {n.split("_")[0] for n in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(names)
