@@ -266,6 +266,16 @@ def test_log_job_reads_the_buckets_of_its_batch(spark, monkeypatch):
     assert flags(job.streams.read(spark)) == {0: "1", 1: "1", 2: "0", 3: "0"}
 
 
+def test_a_job_refuses_another_number_of_buckets(spark):
+    import pytest
+
+    root = new_path(spark, "job")
+    LogJob(root, buckets=4).process(messages(spark, [log(mid="a", ts=T)]), 0)
+    with pytest.raises(ValueError, match="visits-of-4"):
+        LogJob(root, buckets=8).process(messages(spark, [log(mid="a", ts=T)], 1), 1)
+    LogJob(root, buckets=4).process(messages(spark, [log(mid="b", ts=T)], 1), 1)
+
+
 def test_jobs_of_great_age_list_few_directories(spark, tmp_path):
     stream = VisitStream(str(tmp_path / "visits"), compact_every=5)
     visits = spark.sql("SELECT 'm' AS mid, DATE'2020-06-14' AS first_date").coalesce(1)

@@ -148,6 +148,20 @@ class KeyedTable(BatchTable):
         super().__init__(root, schema, (*leading, *keys))
         self.keys = keys
 
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        self._check_layout(df.sparkSession)
+        super().write(df, batch_id)
+
+    def _check_layout(self, spark: SparkSession) -> None:
+        """Refuse to go on beside a table of another layout, whose rows would be forgotten; roots end in ``-of-<buckets>``."""
+        name, mark, buckets = self.root.rpartition("-of-")
+        if mark:
+            pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{name}-of-*")
+            found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+            others = [f.getPath().getName() for f in found if not f.getPath().getName().endswith(f"{mark}{buckets}")]
+            if others:
+                raise ValueError(f"this job began with another number of buckets: {', '.join(others)}")
+
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """All rows of state, or those of batches below ``before``."""
         return self.read_parts(spark, None, before)
