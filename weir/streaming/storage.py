@@ -154,9 +154,10 @@ class KeyedTable(BatchTable):
 
     def _check_layout(self, spark: SparkSession) -> None:
         """Refuse to go on beside a table of another layout, whose rows would be forgotten; roots end in ``-of-<buckets>``."""
-        name, mark, buckets = self.root.rpartition("-of-")
+        folder, _, own = self.root.rpartition("/")
+        name, mark, buckets = own.rpartition("-of-")
         if mark:
-            pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{name}-of-*")
+            pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}-of-*")
             found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
             others = [f.getPath().getName() for f in found if not f.getPath().getName().endswith(f"{mark}{buckets}")]
             if others:
