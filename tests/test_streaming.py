@@ -410,3 +410,20 @@ def test_keyed_state_starts_from_a_table_and_keeps_what_it_has(spark):
         state.start(topics.stream_files(spark, path), availableNow=True).awaitTermination()
     found = {(r.mid, str(r.first_date)) for r in state.visits(spark).collect()}
     assert found == {("old", "2020-01-01"), ("a", "2020-06-14"), ("b", "2020-06-13"), ("c", "2020-06-14"), ("d", "2020-06-15"), ("hot", "2020-06-14")}
+
+
+def test_keyed_state_starts_in_a_session_with_the_default_store(spark):
+    from weir.streaming.visit_state import VisitState
+
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    own, default = spark.conf.get(setting), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    path = new_path(spark, "topic")
+    messages(spark, [log(mid="a", ts=T)], 0).write.parquet(path)
+    state = VisitState(new_path(spark, "job"), spark.sql("SELECT 'old' AS mid, DATE'2020-01-01' AS first_date"))
+    spark.conf.set(setting, default)
+    try:
+        state.start(topics.stream_files(spark, path), availableNow=True).awaitTermination()
+        assert spark.conf.get(setting) == default
+    finally:
+        spark.conf.set(setting, own)
+    assert {r.mid for r in state.visits(spark).collect()} == {"old", "a"}

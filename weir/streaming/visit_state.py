@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from weir import session
 from weir.functions import dates
 from weir.operators import visitors
 from weir.streaming.storage import BatchTable
@@ -62,7 +63,9 @@ class VisitState:
         visits = narrow.groupBy("mid").transformWithState(FirstVisit(), _VISIT, "append", "none", initial)
         writer = visits.writeStream.outputMode("append").foreachBatch(self.updates.write)
         writer = writer.option("checkpointLocation", f"{self.root}/checkpoint")
-        return (writer.trigger(**trigger) if trigger else writer).start()
+        # Spark's default store cannot hold a keyed processor.
+        with session.keyed_state(topic.sparkSession):
+            return (writer.trigger(**trigger) if trigger else writer).start()
 
     def visits(self, spark) -> DataFrame:
         """``(mid, first_date)`` of all devices seen so far."""
