@@ -103,3 +103,11 @@ def test_instants_beyond_spark_have_no_day(spark):
     df = spark.createDataFrame([(2**63 - 1,), (-(2**63),)], "ms bigint")
     rows = df.select(dates.day(F.col("ms")), dates.previous_day(F.col("ms"))).collect()
     assert [tuple(r) for r in rows] == [(None, None), (None, None)]
+
+
+def test_texts_whose_numbers_need_marks_are_found():
+    import re
+
+    texts = ["", "7", "-0", "-1", "1.", "12e", "1E5", "e.1", "a1.b", "1,.", "12345678901234567", "123456789012345678", "x1234567890123456789", "12 3.4"]
+    for text in texts:
+        assert bool(re.search(records._UNSETTLED, text)) == bool(re.search("[0-9][.eE]|[0-9]{18}|-0", text)), text

@@ -427,3 +427,18 @@ def test_keyed_state_starts_in_a_session_with_the_default_store(spark):
     finally:
         spark.conf.set(setting, own)
     assert {r.mid for r in state.visits(spark).collect()} == {"old", "a"}
+
+
+def test_a_batch_of_logs_is_parsed_once(spark, monkeypatch):
+    from weir.operators import visitors
+
+    plans, first_visits = [], visitors.first_visits
+
+    def recorded(logs, *args, **options):
+        plans.append(logs._jdf.queryExecution().optimizedPlan().toString())
+        return first_visits(logs, *args, **options)
+
+    monkeypatch.setattr(visitors, "first_visits", recorded)
+    LogJob(new_path(spark, "job")).process(messages(spark, [log(), log(mid="b")], 0), 0)
+    above, kept, _ = plans[0].partition("InMemoryRelation")
+    assert kept and "parse_json" not in above

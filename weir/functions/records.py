@@ -33,7 +33,8 @@ _NEXT_NUMBER = rf'\G((?:[^"0-9-]++|{_STRING})*+)({_NUMBER})(?=[\s,}}\]]|$)'
 
 # What a text holds if some number in it may be written in another way by a reader: a fraction, an exponent, a minus zero,
 # more digits than a BIGINT surely has.
-_UNSETTLED = "[0-9][.eE]|[0-9]{18}|-0"
+# Looked for where a run of digits begins only.
+_UNSETTLED = "(?<![0-9])[0-9](?:[0-9]{17}|[0-9]*+[.eE])|-0"
 
 
 def marked(text: Column | str) -> Column:

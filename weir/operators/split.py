@@ -42,7 +42,7 @@ _SPACE = " \t\r\n"
 def cut(logs: DataFrame) -> DataFrame:
     """Parsed records (``visitors.parse_logs``) to texts.
 
-    Replaces ``v`` and ``value`` by one JSON text per known member (NULL when absent or JSON null),
+    Replaces ``v``, ``value`` and ``text`` by one JSON text per known member (NULL when absent or JSON null),
     ``rest`` (the other members), ``page_id``, and ``display_items`` and ``action_items`` (the
     members of each element but for those it takes from its record).
 
@@ -59,7 +59,7 @@ def cut(logs: DataFrame) -> DataFrame:
         logs.select(
             *kept,
             # The JSON reader writes slices anew; marked numbers are texts to it.
-            F.from_json(records.marked("value"), ", ".join(schema)).alias("slices"),
+            F.from_json("text", ", ".join(schema)).alias("slices"),
             F.map_filter(records.get_object("v"), lambda _, x: records.holds(x)).alias("fields"),
         )
         .select("*", *[F.col("fields")[name].alias(f"f_{name}") for name in _MEMBERS])

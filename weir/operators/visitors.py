@@ -28,6 +28,7 @@ def parse_logs(topic: DataFrame) -> DataFrame:
     ===========  =======  ==========================================================
     seq          BIGINT   arrival order
     value        STRING   the message
+    text         STRING   the message, its numbers marked
     v            VARIANT  the record
     raw          STRING   the message, only where the record may turn out unusable
     mid          STRING   device
@@ -38,10 +39,12 @@ def parse_logs(topic: DataFrame) -> DataFrame:
     """
     v = F.col("v")
     fields = (
-        topic.select("seq", "value", records.parse("value").alias("v"))
+        topic.select("seq", "value", records.marked("value").alias("text"))
+        .select("*", F.try_parse_json("text").alias("v"))
         .select(
             "seq",
             "value",
+            "text",
             "v",
             records.get_string(v, "$.common.mid").alias("mid"),
             records.get_string(v, "$.common.is_new").alias("is_new"),
@@ -59,6 +62,7 @@ def parse_logs(topic: DataFrame) -> DataFrame:
     row = F.struct(
         "seq",
         "value",
+        "text",
         "v",
         F.when(reason.isNotNull() | ~dates.is_dated(F.col("ts")), F.col("value")).alias("raw"),
         "mid",

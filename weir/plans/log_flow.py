@@ -19,7 +19,7 @@ def repaired_logs(topic: DataFrame, zone: str = dates.ZONE) -> DataFrame:
     is too large to broadcast.
     """
     logs = visitors.parse_logs(topic)
-    return visitors.repair_flags(logs.drop("v", "value"), _visits(logs, zone), zone)
+    return visitors.repair_flags(logs.drop("v", "value", "text"), _visits(logs, zone), zone)
 
 
 def split_logs(

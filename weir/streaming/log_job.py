@@ -62,15 +62,15 @@ class LogJob:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.select(F.col("seq").cast(SEQ).alias("seq"), "value").persist()
+        batch = batch.select(F.col("seq").cast(SEQ).alias("seq"), "value")
+        # All JSON work happens once; the look at visits takes four narrow columns of what is kept.
+        pieces = split.cut(visitors.parse_logs(batch)).persist()
         try:
-            logs = visitors.parse_logs(batch)
-            self.visits.write(self._batch_visits(logs, batch_id).hint("rebalance", "known", "bucket"), batch_id)
+            self.visits.write(self._batch_visits(pieces, batch_id).hint("rebalance", "known", "bucket"), batch_id)
             visits = self.visits.read_batch(spark, batch_id)
-            repaired = visitors.repair_flags(split.cut(logs), visits, self.zone)
-            self.sink(split.fan_out(repaired), batch_id)
+            self.sink(split.fan_out(visitors.repair_flags(pieces, visits, self.zone)), batch_id)
         finally:
-            batch.unpersist()
+            pieces.unpersist()
         if (batch_id + 1) % self.compact_every == 0:
             self.compact(spark, batch_id)
 
