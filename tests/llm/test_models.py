@@ -460,3 +460,20 @@ def test_the_most_telling_words_are_taken(spark):
     assert 0 < len(few) <= 12 and min(weight[w] for w in few.tolist()) >= max(w for i, w in weight.items() if i not in few.tolist())
     left = [i for i in range(100) if i not in few.tolist()]
     assert mean == pytest.approx(sum((i - 40) / 10 * (i % 5 + 3) for i in left) / sum(i % 5 + 3 for i in left))
+
+
+def test_words_beyond_the_tables_of_tasks_are_looked_up(spark, docs):
+    from pyspark.sql import functions as F
+
+    rows = docs.select("doc_id", "text").unionByName(docs.limit(3).select(F.lit(None).cast("bigint").alias("doc_id"), "text"))
+    labels = spark.createDataFrame([(i, int(i % 3 == 1)) for i in range(10, 45)], "doc_id BIGINT, toxic INT")
+
+    def found(words):
+        return sorted((tuple(r) for r in toxicity.score(rows, labels, words).collect()), key=repr)
+
+    every = found(toxicity.WORDS)
+    for words in (0, 4):
+        few = found(words)
+        assert [f[:2] for f in few] == [f[:2] for f in every]
+        for f, w in zip(few, every, strict=True):
+            assert f[2:] == pytest.approx(w[2:], rel=1e-5, abs=1e-6)
