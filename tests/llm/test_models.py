@@ -477,3 +477,18 @@ def test_words_beyond_the_tables_of_tasks_are_looked_up(spark, docs):
         assert [f[:2] for f in few] == [f[:2] for f in every]
         for f, w in zip(few, every, strict=True):
             assert f[2:] == pytest.approx(w[2:], rel=1e-5, abs=1e-6)
+
+
+def test_letters_of_all_planes_are_dealt_by_frequency(spark):
+    import unicodedata
+
+    assert not any(unicodedata.category(chr(c))[0] in "LN" for c in range(quality.CHARACTERS, 0x110000))
+    letters = [0x10400 + 40 + i for i in range(0, 27)]  # Deseret small letters; the first and the last share a number modulo 26
+    text = "".join(chr(c) * (40 - i) for i, c in enumerate(letters[:26]))
+    rows = spark.createDataFrame([("x", text + "\U0001F600\U000E0101")], "lang STRING, text STRING")
+    counted = {r.letter: r.n for r in quality.count_letters(rows).collect()}
+    assert counted == {c: 40 - i for i, c in enumerate(letters[:26])}
+    table = quality.alphabet(counted)
+    data = np.array([*letters[:26], 0x1F600, 0xE0101, 0xF0000], np.uint32)
+    found = quality.symbols(data, table).tolist()
+    assert found[:26] == list(range(1, 27)) and found[26:] == [quality.SIGN, quality.MARK, quality.SIGN]
