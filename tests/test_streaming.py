@@ -442,3 +442,19 @@ def test_a_batch_of_logs_is_parsed_once(spark, monkeypatch):
     LogJob(new_path(spark, "job")).process(messages(spark, [log(), log(mid="b")], 0), 0)
     above, kept, _ = plans[0].partition("InMemoryRelation")
     assert kept and "parse_json" not in above
+
+
+def test_stored_messages_meet_by_id_in_small_partitions(spark, monkeypatch):
+    path = new_path(spark, "sent")
+    LogJob(new_path(spark, "job"), sink=lambda rows, _: topic_sinks.kafka_messages(rows).write.mode("append").parquet(path)).process(
+        messages(spark, [log(mid=f"m{i}", ts=T + i) for i in range(300)], 0), 0
+    )
+    read = lambda: spark.read.parquet(path).unionByName(spark.read.parquet(path)).select(
+        "topic", F.col("value").cast("binary").alias("value"), "headers", F.lit(0).alias("partition"),
+        F.monotonically_increasing_id().alias("offset"), F.timestamp_millis(F.lit(0)).alias("timestamp"),
+    )
+    monkeypatch.setattr(topics, "_ONCE_BYTES", 500)
+    once = topics.from_kafka_once(read())
+    ids = [r.id for r in once.collect()]
+    assert len(ids) == len(set(ids)) >= 300
+    assert once.rdd.getNumPartitions() > 8  # spark.sql.shuffle.partitions

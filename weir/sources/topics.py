@@ -18,6 +18,9 @@ SEQ = "DECIMAL(38,0)"
 # Header that names a message; see ``weir.sinks.topics``.
 ID_HEADER = "weir-id"
 
+# What a task takes of stored messages when all of them meet by id, in bytes as stored.
+_ONCE_BYTES = 32 << 20
+
 # Digits of an offset and of a partition inside ``seq``.
 _OFFSET, _PARTITION = 19, 5
 
@@ -63,11 +66,22 @@ def from_kafka_once(df: DataFrame, within: str = "1 hour") -> DataFrame:
     if df.isStreaming:
         once = named.withWatermark("timestamp", within).dropDuplicatesWithinWatermark(["id"])
     else:
-        once = named.dropDuplicates(["id"])
+        once = _met_by_id(named).dropDuplicates(["id"])
     seen = from_kafka(once, "id", "topic")
     return seen.select("id", "topic", "seq", "value")
 
 
+def _met_by_id(named: DataFrame) -> DataFrame:
+    """Messages dealt out by id into partitions whose number grows with their size, where Spark knows it.
+
+    Left to itself Spark sorts messages twice to find repeats, once before its shuffle, in partitions as large as they come.
+    """
+    size = int(str(named._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size <= _ONCE_BYTES or size >= named.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes():
+        return named
+    return named.repartition(max(-(-size // _ONCE_BYTES), int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "id")
+
+
 def kafka_options(servers: str, topic: str, group: str | None = None) -> dict[str, str]:
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic}
     if group:
