@@ -295,3 +295,12 @@ def test_hand_over_from_snapshot_to_feed(spark):
     rows = [(r.seq, r.rule and r.rule.sink_table) for r in given.orderBy("seq").collect()]
     assert [sink for _, sink in rows] == ["taken", "dim_u", "late", None, "last"]
     assert {r.source_table: r.sink_table for r in routing.active_rules(given).collect()} == {"t": "last", "u": "dim_u"}
+
+
+def test_all_cores_read_the_changes_of_a_large_table(spark, tmp_path):
+    rows = spark.range(60000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("name"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "large"))
+    rows.limit(10).coalesce(1).write.parquet(str(tmp_path / "small"))
+    large, small = (fixtures._spread(spark.read.parquet(str(tmp_path / t)), "id") for t in ("large", "small"))
+    assert large.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and small.rdd.getNumPartitions() == 1
+    assert large.count() == 60000

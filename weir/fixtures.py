@@ -28,6 +28,10 @@ RULE_CHANGES = (
 )
 
 
+# Bytes on disk below which one task writes and reads all messages of a table in little time.
+_SMALL_TABLE = 256 << 10
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -124,7 +128,7 @@ def topic_db(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFrame:
         ("part", "p_partkey", "p_partkey", "p_name", ("p_brand",)),
     )
     topics = [
-        _changes(_table(spark, sf_dir, table), table, number, key, key_name, name, further)
+        _changes(_spread(_table(spark, sf_dir, table).select(key, name, *further), key), table, number, key, key_name, name, further)
         for number, (table, key, key_name, name, further) in enumerate(tables)
     ]
     union = topics[0]
@@ -133,6 +137,12 @@ def topic_db(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFrame:
     return _with_tombstones(union, raw)
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows as a topic gives them that all cores read, however few files a table has. One task reads a small table as it is."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df if size < _SMALL_TABLE else df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def _changes(
     df: DataFrame, table: str, number: int, key: str, key_name: str, name: str, further: tuple[str, ...]
 ) -> DataFrame:
